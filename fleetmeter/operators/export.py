@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetmeter.functions import wifi
+from fleetmeter.operators import firmware
+
 
 def entries(table: DataFrame, key: Column | str, field: Column | str, value: Column) -> DataFrame:
     key = F.lit(key) if isinstance(key, str) else key
@@ -29,32 +32,25 @@ def hourly_set(hourly: DataFrame, prefix: str) -> DataFrame:
     return entries(hourly, F.concat(F.lit(prefix), F.col("hour_key")), "device_id", F.lit(None))
 
 
-def sense_state_export(
-    sense_state: DataFrame,
-    device_firmware: DataFrame,
-    firmwares_seen: DataFrame,
-    top_firmwares_seen: DataFrame,
-    middle_devices: DataFrame,
-    top_devices: DataFrame,
-) -> DataFrame:
-    """All sense keys except the hourly sets. Wifi, uptime and activity leave one state pass."""
+def sense_export(sense_state: DataFrame, version_state: DataFrame) -> DataFrame:
+    """All sense keys except the hourly sets, from the two reduced state tables."""
     device = sense_state.select(
         "device_id",
         F.inline(
             F.array(
                 F.struct(F.lit("active_senses").alias("key"), F.col("received_at").cast("string").alias("value")),
                 F.struct(F.lit("sense_uptimes").alias("key"), F.col("uptime_seconds").cast("string").alias("value")),
-                F.struct(
-                    F.lit("wifi_info").alias("key"), F.format_string("%s : %s", F.col("ssid"), F.col("rssi")).alias("value")
-                ),
+                F.struct(F.lit("wifi_info").alias("key"), wifi.text().alias("value")),
             )
         ),
     ).select("key", F.col("device_id").alias("field"), "value")
-    version, stamp = F.col("version"), F.col("timestamp")
+    members = entries(
+        version_state, F.concat("part", F.lit(":"), "version"), "device_id", F.col("timestamp")
+    )
+    seen_key = F.when(F.col("part") == "middle", "firmwares_seen").otherwise("top_firmwares_seen")
+    seen = version_state.groupBy("part", "version").agg(F.max("newest").alias("newest"))
     return (
-        device.unionByName(device_hash(device_firmware))
-        .unionByName(entries(firmwares_seen, "firmwares_seen", version, stamp))
-        .unionByName(entries(top_firmwares_seen, "top_firmwares_seen", version, stamp))
-        .unionByName(entries(middle_devices, F.concat(F.lit("middle:"), version), "device_id", stamp))
-        .unionByName(entries(top_devices, F.concat(F.lit("top:"), version), "device_id", stamp))
+        device.unionByName(members)
+        .unionByName(entries(seen, seen_key, "version", F.col("newest")))
+        .unionByName(device_hash(firmware.device_firmware_view(version_state)))
     )

@@ -61,63 +61,119 @@ def missing_top_firmware(messages: DataFrame) -> DataFrame:
     return messages.where(~_has_top()).select("shard_id", "sequence_number", "device_id")
 
 
-def device_firmware_rows(firmware: DataFrame) -> DataFrame:
-    """One partial update per message: a part that is not known is null and leaves the old value."""
-    middle, top = F.col("middle_version") != UNKNOWN, F.col("top_version") != UNKNOWN
-    return firmware.select(
-        "device_id",
-        F.when(middle, F.struct(arrival().alias("arrival"), F.col("middle_version").alias("value"))).alias("middle"),
-        F.when(top, F.struct(arrival().alias("arrival"), F.col("top_version").alias("value"))).alias("top"),
-        F.when(middle | top, F.struct(arrival().alias("arrival"), F.col("timestamp").alias("value"))).alias("stamp"),
-    ).where("stamp IS NOT NULL")
-
-
-def reduce_device_firmware(rows: DataFrame) -> DataFrame:
-    """Associative: each part keeps its own last arrival; nulls are skipped by ``max``."""
-    return rows.groupBy("device_id").agg(
-        F.max("middle").alias("middle"), F.max("top").alias("top"), F.max("stamp").alias("stamp")
-    )
+# -- one table from a firmware stream, one pass each --------------------------------------------
 
 
-def device_firmware_values(state: DataFrame) -> DataFrame:
-    return state.select(
-        "device_id",
-        F.col("middle.value").alias("middle_version"),
-        F.col("top.value").alias("top_version"),
-        F.col("stamp.value").alias("timestamp"),
-    )
+def _set_at(value: str):
+    return F.struct(arrival().alias("arrival"), F.col(value).alias("value"))
 
 
 def device_firmware(firmware: DataFrame) -> DataFrame:
-    return device_firmware_values(reduce_device_firmware(device_firmware_rows(firmware)))
+    """Latest middle and top of every device, taken independently, and when either was last set.
+
+    A part that is not known is null for that message and leaves the older value in place; ``max``
+    skips nulls. A device that never had a known part gives no row.
+    """
+    middle, top = F.col("middle_version") != UNKNOWN, F.col("top_version") != UNKNOWN
+    return (
+        firmware.where(middle | top)
+        .groupBy("device_id")
+        .agg(
+            F.max(F.when(middle, _set_at("middle_version"))).alias("middle"),
+            F.max(F.when(top, _set_at("top_version"))).alias("top"),
+            F.max(_set_at("timestamp")).alias("stamp"),
+        )
+        .select(
+            "device_id",
+            F.col("middle.value").alias("middle_version"),
+            F.col("top.value").alias("top_version"),
+            F.col("stamp.value").alias("timestamp"),
+        )
+    )
 
 
 def _known(firmware: DataFrame, part: str) -> DataFrame:
     return firmware.where(F.col(part) != UNKNOWN).withColumnRenamed(part, "version")
 
 
-def versions_seen(rows: DataFrame) -> DataFrame:
-    """Newest timestamp per version; associative."""
-    return rows.groupBy("version").agg(F.max("timestamp").alias("timestamp"))
+def _seen(firmware: DataFrame, part: str) -> DataFrame:
+    return _known(firmware, part).groupBy("version").agg(F.max("timestamp").alias("timestamp"))
 
 
 def firmwares_seen(firmware: DataFrame) -> DataFrame:
-    return versions_seen(_known(firmware, "middle_version"))
+    return _seen(firmware, "middle_version")
 
 
 def top_firmwares_seen(firmware: DataFrame) -> DataFrame:
-    return versions_seen(_known(firmware, "top_version"))
+    return _seen(firmware, "top_version")
 
 
-def version_devices(firmware: DataFrame, part: str) -> DataFrame:
-    """Per (version, device) the timestamp written last, with its arrival; history is kept."""
+def _devices(firmware: DataFrame, part: str) -> DataFrame:
+    """Per (version, device) the timestamp written last; rows of older versions stay."""
     rows = _known(firmware, part).select("version", "device_id", arrival().alias("arrival"), "timestamp")
-    return reduce_latest(rows, ["version", "device_id"], ["timestamp"])
+    return reduce_latest(rows, ["version", "device_id"], ["timestamp"]).drop("arrival")
 
 
 def middle_firmware_devices(firmware: DataFrame) -> DataFrame:
-    return version_devices(firmware, "middle_version").drop("arrival")
+    return _devices(firmware, "middle_version")
 
 
 def top_firmware_devices(firmware: DataFrame) -> DataFrame:
-    return version_devices(firmware, "top_version").drop("arrival")
+    return _devices(firmware, "top_version")
+
+
+# -- all five tables from one reduced state -----------------------------------------------------
+
+STATE_KEYS = ["part", "version", "device_id"]
+
+
+def version_state(firmware: DataFrame) -> DataFrame:
+    """Per (part, version, device): last arrival, its timestamp, and the newest timestamp.
+
+    One row per version a device ever ran. Every firmware table is a view of this one, so a job
+    that needs several of them reads the messages once.
+    """
+    parts = F.array(
+        F.struct(F.lit("middle").alias("part"), F.col("middle_version").alias("version")),
+        F.struct(F.lit("top").alias("part"), F.col("top_version").alias("version")),
+    )
+    rows = firmware.select(
+        "device_id", arrival().alias("arrival"), "timestamp", F.col("timestamp").alias("newest"), F.inline(parts)
+    ).where(F.col("version") != UNKNOWN)
+    return reduce_version_state(rows)
+
+
+def reduce_version_state(rows: DataFrame) -> DataFrame:
+    """Associative and idempotent, like ``reduce_latest``."""
+    return (
+        rows.groupBy(*STATE_KEYS)
+        .agg(F.max(F.struct("arrival", "timestamp")).alias("last"), F.max("newest").alias("newest"))
+        .select(*STATE_KEYS, "last.*", "newest")
+    )
+
+
+def device_firmware_view(state: DataFrame) -> DataFrame:
+    rows = state.select(
+        "device_id",
+        F.when(F.col("part") == "middle", F.struct("arrival", "version")).alias("middle"),
+        F.when(F.col("part") == "top", F.struct("arrival", "version")).alias("top"),
+        F.struct("arrival", "timestamp").alias("stamp"),
+    )
+    return (
+        rows.groupBy("device_id")
+        .agg(F.max("middle").alias("middle"), F.max("top").alias("top"), F.max("stamp").alias("stamp"))
+        .select(
+            "device_id",
+            F.col("middle.version").alias("middle_version"),
+            F.col("top.version").alias("top_version"),
+            F.col("stamp.timestamp").alias("timestamp"),
+        )
+    )
+
+
+def seen_view(state: DataFrame, part: str) -> DataFrame:
+    return state.where(F.col("part") == part).groupBy("version").agg(F.max("newest").alias("timestamp"))
+
+
+def devices_view(state: DataFrame, part: str) -> DataFrame:
+    return state.where(F.col("part") == part).select("version", "device_id", "timestamp")

@@ -94,14 +94,8 @@ def _metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _state_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, readings = _messages(spark, sf_dir), _readings(spark, sf_dir)
-    versions = firmware.sense_firmware(messages)
-    sense = export.sense_state_export(
-        devices.sense_state(messages),
-        firmware.device_firmware(versions),
-        firmware.firmwares_seen(versions),
-        firmware.top_firmwares_seen(versions),
-        firmware.middle_firmware_devices(versions),
-        firmware.top_firmware_devices(versions),
+    sense = export.sense_export(
+        devices.sense_state(messages), firmware.version_state(firmware.sense_firmware(messages))
     )
     return (
         sense.unionByName(export.entries(devices.active_pills(readings), "active_pills", "device_id", F.col("seen_at")))

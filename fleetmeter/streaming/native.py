@@ -1,0 +1,47 @@
+"""The same definitions as native stateful queries, for sinks that take updates or appends.
+
+``devices.sense_state``, ``devices.pill_state`` and ``firmware.device_firmware`` run unchanged on a
+stream in update mode: one state row per device, no watermark, so late records count. The queries
+here need a watermark to bound their state.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fleetmeter.functions import clock
+from fleetmeter.operators import metrics
+
+# How long an hour takes members, and how long low-uptime devices are remembered.
+HOURLY_DELAY = "48 hours"
+LOW_UPTIME_DELAY = "1 hour"
+
+
+def _hour(clock_column: str):
+    return F.timestamp_millis(clock.floor_ms(F.col(clock_column), clock.HOUR_MS))
+
+
+def hourly_active(rows: DataFrame, clock_column: str) -> DataFrame:
+    """Each (hour, device) once, in append mode; an hour leaves the state after 48 hours."""
+    hours = rows.select(_hour(clock_column).alias("hour"), "device_id")
+    return hours.withWatermark("hour", HOURLY_DELAY).dropDuplicates(["hour", "device_id"])
+
+
+def low_uptime(messages: DataFrame) -> DataFrame:
+    """Each (shard, hour, device) with a low uptime once, in append mode."""
+    low = messages.where(F.col("uptime_seconds") <= metrics.LOW_UPTIME_SECONDS).select(
+        "shard_id", _hour("received_at").alias("hour"), "device_id"
+    )
+    return low.withWatermark("hour", LOW_UPTIME_DELAY).dropDuplicates(["shard_id", "hour", "device_id"])
+
+
+def message_counts(raw: DataFrame, window: str = "1 minute", delay: str = "1 hour") -> DataFrame:
+    """Records per window of arrival, malformed ones included, in append or update mode."""
+    arrived = raw.select(F.timestamp_millis("arrival_ms").alias("arrived"))
+    return (
+        arrived.withWatermark("arrived", delay)
+        .groupBy(F.window("arrived", window))
+        .agg(F.count(F.lit(1)).alias("events"))
+        .select(F.unix_millis("window.start").alias("window_start"), "events")
+    )
