@@ -22,14 +22,15 @@ def sense_firmware(messages: DataFrame) -> DataFrame:
 
     A usable top version makes the whole message (middle, top, received_at). Otherwise it is the
     newest point, ties to the greatest version text; a message without points gives no row. The
-    points are reduced inside their row, without explode or shuffle.
+    points are reduced inside their row, without explode or shuffle, from the two fields that matter.
     """
     newest = F.array_max(
-        F.transform(
-            "points",
-            lambda p: F.struct(
-                seconds_to_ms(p.unix_time).alias("timestamp"),
-                F.coalesce(F.col("batch_firmware"), p.firmware_version, F.lit(0)).cast("string").alias("version"),
+        F.zip_with(
+            "points.unix_time",
+            "points.firmware_version",
+            lambda time, version: F.struct(
+                seconds_to_ms(time).alias("timestamp"),
+                F.coalesce(F.col("batch_firmware"), version, F.lit(0)).cast("string").alias("version"),
             ),
         )
     )
@@ -42,7 +43,7 @@ def sense_firmware(messages: DataFrame) -> DataFrame:
         ),
     ).otherwise(
         F.when(
-            F.size("points") > 0,
+            newest.isNotNull(),
             F.struct(
                 newest.version.alias("middle_version"),
                 F.lit(UNKNOWN).alias("top_version"),

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from fleetmeter.functions import clock, rules
 from fleetmeter.operators.quality import meter_columns, unpivot
-from fleetmeter.sources.decode import sense_points
 
 # A device is "low" up to one hour of uptime; distinct counts renew every hour.
 LOW_UPTIME_SECONDS = 3600
@@ -33,8 +32,9 @@ def messages_processed(raw: DataFrame) -> DataFrame:
 
 
 def wave_counts(messages: DataFrame) -> DataFrame:
-    waves = F.sum(F.coalesce("point.wave_count", F.lit(0)).cast("long"))
-    return sense_points(messages).agg(F.coalesce(waves, F.lit(0).cast("long")).alias("wave_count"))
+    """Sum over all data points; only the wave counts are read from a stored table."""
+    waves = messages.select(F.explode("points.wave_count").alias("wave_count"))
+    return waves.agg(F.coalesce(F.sum(F.col("wave_count").cast("long")), F.lit(0).cast("long")).alias("wave_count"))
 
 
 # -- low uptime --------------------------------------------------------------------------------

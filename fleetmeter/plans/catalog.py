@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetmeter import schemas
 from fleetmeter.functions.clock import MINUTE_MS
 from fleetmeter.operators import devices, export, firmware, metrics, positions, quality
+from fleetmeter.plans.streams import STREAMS
 from fleetmeter.sources import decode, derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,4 +151,6 @@ QUERIES: dict[str, Query] = {
     "pill_checkpoint_track": _pill(_pill_positions),
     # all keyed tables under their store names
     "state_export": _state_export,
+    # the same results from streams
+    **{f"{name}_stream": query for name, query in STREAMS.items()},
 }

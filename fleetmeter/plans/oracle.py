@@ -6,6 +6,8 @@ queries use ``row_number`` and the position index a recursive fold.
 
 from __future__ import annotations
 
+from fleetmeter.plans.streams import STREAMS
+
 # One row per event, one per message, one per data point; malformed messages are marked.
 _BASE = """
 WITH RECURSIVE ev AS (
@@ -318,3 +320,4 @@ FROM placed GROUP BY metric, m, window_start""",
 }
 
 ORACLES: dict[str, str] = {name: _BASE + body for name, body in _BODIES.items()}
+ORACLES |= {f"{name}_stream": ORACLES[name] for name in STREAMS}

@@ -133,7 +133,9 @@ def _start(
 ) -> StreamingQuery:
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = decode.parse(batch, message).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = decode.parse(batch, message)
+        if len(tables) + bool(times) > 1:
+            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, table in tables.items():
                 path = f"{out}/{name}"
