@@ -12,6 +12,7 @@ from fleetmeter.functions.clock import MINUTE_MS
 from fleetmeter.operators import devices, export, firmware, metrics, positions, quality
 from fleetmeter.plans.streams import STREAMS
 from fleetmeter.sources import decode, derived
+from fleetmeter.sources.tables import decode_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,7 +67,7 @@ def _live(hourly: Query) -> Query:
 
 def _approximate_low_uptime(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the sketch agrees with the exact count, within four standard errors and one device."""
-    messages = _messages(spark, sf_dir)
+    messages = decode.sense_messages(decode_once(_sense_parsed(spark, sf_dir), "low_uptime"))
     exact = metrics.low_uptime_devices(messages).withColumnRenamed("devices", "exact")
     off = F.abs(F.col("devices") - F.col("exact"))
     return (
@@ -79,7 +80,7 @@ def _approximate_low_uptime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _meter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _sense_parsed(spark, sf_dir)
+    parsed = decode_once(_sense_parsed(spark, sf_dir), "meter_rates")
     minutes = metrics.meter_events(
         parsed, decode.sense_messages(parsed), derived.pill_raw(spark, sf_dir), MINUTE_MS
     )
@@ -87,14 +88,15 @@ def _meter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _sense_parsed(spark, sf_dir)
+    parsed = decode_once(_sense_parsed(spark, sf_dir), "metrics_report")
     return metrics.metrics_report(
         parsed, decode.sense_messages(parsed), derived.pill_raw(spark, sf_dir), REPORT_INCLUDE
     )
 
 
 def _state_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages, readings = _messages(spark, sf_dir), _readings(spark, sf_dir)
+    messages = decode.sense_messages(decode_once(_sense_parsed(spark, sf_dir), "export_sense"))
+    readings = decode.pill_readings(decode.pill_messages(decode_once(_pill_parsed(spark, sf_dir), "export_pill")))
     sense = export.sense_export(
         devices.sense_state(messages), firmware.version_state(firmware.sense_firmware(messages))
     )

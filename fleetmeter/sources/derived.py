@@ -26,16 +26,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
         F.to_date("ts").alias("day"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.regexp_extract("props", r'"k"\s*:\s*(\d+)', 1).try_cast("int").alias("k"),
     )
 
 
 def _messages(rows: DataFrame) -> DataFrame:
-    """Gather the events of each message, ordered by id; only narrow columns are shuffled."""
+    """Gather the events of each message, ordered by id.
+
+    The explicit shuffle carries only narrow rows and serves the grouping as well. Map-side lists
+    would not shrink them, and its partitions are not merged by their small byte size: what follows
+    is heavy on the processor, not on memory.
+    """
+    keys = ["user_id", "day", "part"]
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.groupBy(
-            "user_id", "day", F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_MESSAGE)).alias("part")
-        )
+        rows.withColumn("part", F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_MESSAGE)))
+        .repartition(partitions, *keys)
+        .groupBy(*keys)
         .agg(
             F.max("ms").alias("arrival_ms"),
             F.sort_array(F.collect_list(F.struct("event_id", "ms", "k", "event_type"))).alias("events"),

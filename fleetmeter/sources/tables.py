@@ -25,6 +25,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def decode_once(parsed: DataFrame, purpose: str) -> DataFrame:
+    """Parsed records, malformed ones included, kept in the scratch place without their payloads.
+
+    For queries with several branches: parsing costs far more than writing and reading columns, and
+    the stored rows survive the loss of an executor.
+    """
+    path = scratch_dir(parsed.sparkSession, purpose)
+    parsed.drop("payload").write.parquet(path)
+    return parsed.sparkSession.read.parquet(path)
+
+
 def write_decoded(messages: DataFrame, path: str) -> None:
     """Decoded messages by arrival day, so a report on some days reads only those."""
     day = F.timestamp_millis(F.col("arrival_ms") - F.pmod("arrival_ms", F.lit(DAY_MS))).cast("date")
