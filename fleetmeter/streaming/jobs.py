@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetmeter import schemas
-from fleetmeter.functions.clock import MINUTE_MS
+from fleetmeter.functions.clock import MINUTE_MS, hour_expiry
 from fleetmeter.operators import devices, firmware, metrics, positions, quality
 from fleetmeter.operators.latest import reduce_latest
 from fleetmeter.sources import decode
@@ -65,6 +65,11 @@ def _sum_events(rows: DataFrame) -> DataFrame:
     return rows.groupBy("metric", "window_start").agg(F.sum("events").alias("events"))
 
 
+def _unexpired(hours: DataFrame, as_of_ms: int) -> DataFrame:
+    """Members of hourly sets that still live at ``as_of_ms``."""
+    return hours.where(hour_expiry(F.col("hour_start")) > as_of_ms // 1000)
+
+
 def _sum_days(rows: DataFrame) -> DataFrame:
     return rows.groupBy("days").agg(F.sum("n").alias("n"))
 
@@ -98,6 +103,9 @@ PILL_TABLES: dict[str, Table] = {
     "pill_minutes": Table(lambda parsed: metrics.pill_meters(parsed, MINUTE_MS), _sum_events, additive=True),
 }
 
+# Tables of hourly sets: a fold drops the hours that have expired.
+HOUR_TABLES = ("sense_hours", "pill_hours")
+
 # Position index of each stream: the kept readings, and beside them the last kept time per shard.
 SENSE_POSITIONS = "sense_positions"
 PILL_POSITIONS = "pill_positions"
@@ -121,6 +129,14 @@ def _write_positions(times: DataFrame, path: str, batch_id: int) -> None:
     changes.write(_max_kept(kept.select("shard_id", F.col("ts").alias("last_kept"))), state, batch_id)
 
 
+def _merge_hours(table: Table, parsed: DataFrame) -> changes.Reduce:
+    """Merge without the hours that are expired by the clock of the current batch."""
+    now = parsed.agg(F.max("arrival_ms")).first()[0]
+    if now is None:
+        return table.merge
+    return lambda rows: _unexpired(table.merge(rows), now)
+
+
 def _start(
     raw: DataFrame,
     out: str,
@@ -128,11 +144,12 @@ def _start(
     message,
     tables: dict[str, Table],
     times: tuple[str, Callable[[DataFrame], DataFrame]] | None,
-    trigger: dict,
+    trigger: dict | None,
     fold_every: int,
 ) -> StreamingQuery:
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        folds = batch_id > 0 and batch_id % fold_every == 0
         parsed = decode.parse(batch, message)
         if len(tables) + bool(times) > 1:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -140,12 +157,15 @@ def _start(
             for name, table in tables.items():
                 path = f"{out}/{name}"
                 changes.write(table.batch_rows(parsed, batch_id), path, batch_id)
-                if table.reduce and batch_id and batch_id % fold_every == 0:
-                    changes.fold(spark, path, batch_id - 1, table.merge)
+                if table.reduce and folds:
+                    merge = table.merge
+                    if name in HOUR_TABLES:
+                        merge = _merge_hours(table, parsed)
+                    changes.fold(spark, path, batch_id - 1, merge)
             if times:
                 path = f"{out}/{times[0]}"
                 _write_positions(times[1](parsed), path, batch_id)
-                if batch_id and batch_id % fold_every == 0:
+                if folds:
                     changes.fold(spark, f"{path}_last", batch_id - 1, _max_kept)
         finally:
             parsed.unpersist()
