@@ -7,13 +7,12 @@ is part of the grouping key, so a hot user yields more messages, not larger ones
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.clock import utc_session
 
 EVENTS_PER_MESSAGE = 100_000
-SHARDS = 4
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,79 +51,54 @@ def _messages(rows: DataFrame) -> DataFrame:
     )
 
 
-def _raw(messages: DataFrame, payload: Column) -> DataFrame:
-    return messages.select(
-        F.format_string("shardId-%012d", F.col("user_id") % SHARDS).alias("shard_id"),
-        F.col("seq").cast("string").alias("sequence_number"),
-        "arrival_ms",
-        F.when(F.col("seq") % 97 == 0, F.lit("{bad")).otherwise(F.to_json(payload)).alias("payload"),
-    )
-
+_UNIX_TIME = "e.ms div 1000 + CASE WHEN e.k % 10 = 0 THEN 7200 WHEN e.k % 7 = 0 THEN -1800 ELSE 0 END"
+
+# Formulas of FIXTURES.md; a null field is left out of the JSON.
+_SENSE_PAYLOAD = f"""
+named_struct(
+  'uptime_in_second', 100 * last.k * last.k,
+  'received_at', arrival_ms,
+  'firmware_top_version',
+    CASE last.event_type WHEN 'error' THEN NULL WHEN 'signup' THEN '0' ELSE concat('1.', last.k % 4) END,
+  'firmware_middle_version', CASE WHEN last.k % 9 = 0 THEN '0' ELSE concat('mid', 200 + last.k % 5) END,
+  'data', named_struct(
+    'device_id', concat('sense-', user_id),
+    'firmware_version', CASE WHEN user_id % 10 <> 0 THEN int(100 + user_id % 7) END,
+    'connected_ssid', CASE WHEN last.event_type <> 'error' THEN concat('ssid-', user_id % 5) END,
+    'scan', transform(events, e -> named_struct('ssid', concat('ssid-', e.k % 5), 'rssi', -30 - e.k % 60)),
+    'data', transform(events, e -> named_struct(
+      'unix_time', {_UNIX_TIME},
+      'wave_count', CASE WHEN e.event_type <> 'view' THEN e.k % 4 END,
+      'co2', CASE WHEN e.k % 3 <> 0 THEN 300 + 50 * e.k END,
+      'pressure', CASE WHEN e.event_type IN ('click', 'purchase') THEN (890 + 2 * e.k) * 25600 END,
+      'light_sensor', CASE WHEN e.event_type IN ('purchase', 'view') THEN named_struct('uv_count', e.k % 9) END,
+      'light', CASE e.event_type WHEN 'view' THEN 1250 * e.k WHEN 'error' THEN 50000 * e.k END,
+      'dust', CASE WHEN e.event_type <> 'signup' THEN 20 * e.k END,
+      'humidity', int(100 * e.k + 50 * (user_id % 3)),
+      'temperature', 125 * e.k - 125,
+      'firmware_version', 90 + e.k % 4))))
+"""
 
-def _unix_time(e: Column) -> Column:
-    skew = F.when(e.k % 10 == 0, 7200).when(e.k % 7 == 0, -1800).otherwise(0)
-    return F.call_function("div", e.ms, F.lit(1000)) + skew
-
-
-def _sense_point(e: Column, user_id: Column) -> Column:
-    kind = e.event_type
-    return F.struct(
-        _unix_time(e).alias("unix_time"),
-        F.when(kind != "view", e.k % 4).alias("wave_count"),
-        F.when(e.k % 3 != 0, 300 + 50 * e.k).alias("co2"),
-        F.when(kind.isin("click", "purchase"), (890 + 2 * e.k) * 25600).alias("pressure"),
-        F.when(kind.isin("purchase", "view"), F.struct((e.k % 9).alias("uv_count"))).alias("light_sensor"),
-        F.when(kind == "view", 1250 * e.k).when(kind == "error", 50000 * e.k).alias("light"),
-        F.when(kind != "signup", 20 * e.k).alias("dust"),
-        (100 * e.k + 50 * (user_id % 3)).cast("int").alias("humidity"),
-        (125 * e.k - 125).alias("temperature"),
-        (90 + e.k % 4).alias("firmware_version"),
-    )
+_PILL_PAYLOAD = f"""
+named_struct('pills', transform(events, e -> named_struct(
+  'device_id', concat('pill-', 2 * user_id + e.k % 2),
+  'timestamp', {_UNIX_TIME})))
+"""
 
 
-def _scan_entry(e: Column) -> Column:
-    return F.struct(
-        F.concat(F.lit("ssid-"), (e.k % 5).cast("string")).alias("ssid"), (-30 - e.k % 60).alias("rssi")
+def _raw(messages: DataFrame, payload: str) -> DataFrame:
+    return messages.selectExpr(
+        "format_string('shardId-%012d', user_id % 4) AS shard_id",
+        "string(seq) AS sequence_number",
+        "arrival_ms",
+        f"CASE WHEN seq % 97 = 0 THEN '{{bad' ELSE to_json({payload}) END AS payload",
     )
 
 
 def sense_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user, last = F.col("user_id"), F.col("last")
-    top = (
-        F.when(last.event_type == "error", None)
-        .when(last.event_type == "signup", "0")
-        .otherwise(F.concat(F.lit("1."), (last.k % 4).cast("string")))
-    )
-    payload = F.struct(
-        (100 * last.k * last.k).alias("uptime_in_second"),
-        F.col("arrival_ms").alias("received_at"),
-        top.alias("firmware_top_version"),
-        F.when(last.k % 9 == 0, "0")
-        .otherwise(F.concat(F.lit("mid"), (200 + last.k % 5).cast("string")))
-        .alias("firmware_middle_version"),
-        F.struct(
-            F.concat(F.lit("sense-"), user.cast("string")).alias("device_id"),
-            F.when(user % 10 != 0, 100 + user % 7).cast("int").alias("firmware_version"),
-            F.when(last.event_type != "error", F.concat(F.lit("ssid-"), (user % 5).cast("string"))).alias(
-                "connected_ssid"
-            ),
-            F.transform("events", _scan_entry).alias("scan"),
-            F.transform("events", lambda e: _sense_point(e, user)).alias("data"),
-        ).alias("data"),
-    )
-    return _raw(_messages(events(spark, sf_dir)), payload)
+    return _raw(_messages(events(spark, sf_dir)), _SENSE_PAYLOAD)
 
 
 def pill_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = F.col("user_id")
-    payload = F.struct(
-        F.transform(
-            "events",
-            lambda e: F.struct(
-                F.concat(F.lit("pill-"), (2 * user + e.k % 2).cast("string")).alias("device_id"),
-                _unix_time(e).alias("timestamp"),
-            ),
-        ).alias("pills")
-    )
     rows = events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
-    return _raw(_messages(rows), payload)
+    return _raw(_messages(rows), _PILL_PAYLOAD)
