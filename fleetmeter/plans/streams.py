@@ -56,6 +56,20 @@ def _active_senses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.read(spark, out, jobs.SENSE_TABLES["sense_state"].reduce).select("device_id", "received_at")
 
 
+def _meter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all meters from the minute tables of both streams."""
+    place = scratch_dir(spark, "meter_rates")
+    sense = _stage(derived.sense_raw(spark, sf_dir), f"{place}/sense")
+    pill = _stage(derived.pill_raw(spark, sf_dir), f"{place}/pill")
+    running = [
+        jobs.start_sense(sense, f"{place}/out", f"{place}/sense_offsets", ["sense_minutes", "low_uptime"], NOW),
+        jobs.start_pill(pill, f"{place}/out", f"{place}/pill_offsets", ["pill_minutes"], NOW),
+    ]
+    for query in running:
+        query.awaitTermination()
+    return metrics.meter_rates(jobs.minute_events(spark, f"{place}/out"))
+
+
 def _low_uptime_counts(first: DataFrame) -> DataFrame:
     return first.groupBy("shard_id", "hour_start").agg(F.count(F.lit(1)).alias("devices"))
 
@@ -73,5 +87,6 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_active_sense": _job(jobs.start_sense, derived.sense_raw, "sense_hours", devices.with_hour_key),
     "low_uptime_devices": _job(jobs.start_sense, derived.sense_raw, "low_uptime", _low_uptime_counts),
     "uptime_days": _job(jobs.start_sense, derived.sense_raw, "uptime_histogram", metrics.distribution),
+    "meter_rates": _meter_rates,
     "bad_sensor_events": _job(jobs.start_sense, derived.sense_raw, "bad_sensor_events", lambda t: t),
 }

@@ -9,10 +9,11 @@ records are never dropped: state is ordered by arrival, whichever batch a record
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 from typing import NamedTuple
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +26,9 @@ from fleetmeter.sources import decode
 from fleetmeter.sources.raw import READ_INTERVAL
 from fleetmeter.streaming import changes
 
+# Tables of a batch that are written at the same time.
+PARALLEL_WRITES = 4
+
 # Old folders of a reducible table are folded once in this many batches.
 FOLD_EVERY = 100
 
@@ -151,22 +155,29 @@ def _start(
         spark = batch.sparkSession
         folds = batch_id > 0 and batch_id % fold_every == 0
         parsed = decode.parse(batch, message)
-        if len(tables) + bool(times) > 1:
+
+        def write_table(name: str) -> None:
+            table, path = tables[name], f"{out}/{name}"
+            changes.write(table.batch_rows(parsed, batch_id), path, batch_id)
+            if table.reduce and folds:
+                merge = _merge_hours(table, parsed) if name in HOUR_TABLES else table.merge
+                changes.fold(spark, path, batch_id - 1, merge)
+
+        def write_positions() -> None:
+            path = f"{out}/{times[0]}"
+            _write_positions(times[1](parsed), path, batch_id)
+            if folds:
+                changes.fold(spark, f"{path}_last", batch_id - 1, _max_kept)
+
+        writes = [partial(write_table, name) for name in tables] + ([write_positions] if times else [])
+        if len(writes) > 1:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for name, table in tables.items():
-                path = f"{out}/{name}"
-                changes.write(table.batch_rows(parsed, batch_id), path, batch_id)
-                if table.reduce and folds:
-                    merge = table.merge
-                    if name in HOUR_TABLES:
-                        merge = _merge_hours(table, parsed)
-                    changes.fold(spark, path, batch_id - 1, merge)
-            if times:
-                path = f"{out}/{times[0]}"
-                _write_positions(times[1](parsed), path, batch_id)
-                if folds:
-                    changes.fold(spark, f"{path}_last", batch_id - 1, _max_kept)
+            # The first write fills the cache; the others then share the cluster.
+            writes[0]()
+            with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+                for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes[1:]]:
+                    done.result()
         finally:
             parsed.unpersist()
 
@@ -231,3 +242,13 @@ def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
     """Current content of a table fed by either job."""
     table = {**SENSE_TABLES, **PILL_TABLES}.get(name)
     return changes.read(spark, f"{out}/{name}", table.current if table else None)
+
+
+def minute_events(spark: SparkSession, out: str) -> DataFrame:
+    """Events of every meter per minute, for ``metrics.meter_rates``; both jobs share ``out``."""
+    low_uptime = metrics.low_uptime_meter(read_table(spark, out, "low_uptime"), MINUTE_MS)
+    return (
+        read_table(spark, out, "sense_minutes")
+        .unionByName(low_uptime)
+        .unionByName(read_table(spark, out, "pill_minutes"))
+    )
