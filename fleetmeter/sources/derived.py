@@ -29,32 +29,29 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _messages(rows: DataFrame) -> DataFrame:
-    """Gather the events of each message, ordered by id.
+# Formulas of FIXTURES.md, per event; a null field is left out of the JSON.
+_UNIX_TIME = "ms div 1000 + CASE WHEN k % 10 = 0 THEN 7200 WHEN k % 7 = 0 THEN -1800 ELSE 0 END"
 
-    The explicit shuffle carries only narrow rows and serves the grouping as well. Map-side lists
-    would not shrink them, and its partitions are not merged by their small byte size: what follows
-    is heavy on the processor, not on memory.
-    """
-    keys = ["user_id", "day", "part"]
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        rows.withColumn("part", F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_MESSAGE)))
-        .repartition(partitions, *keys)
-        .groupBy(*keys)
-        .agg(
-            F.max("ms").alias("arrival_ms"),
-            F.sort_array(F.collect_list(F.struct("event_id", "ms", "k", "event_type"))).alias("events"),
-        )
-        .withColumn("last", F.element_at("events", -1))
-        .select("user_id", "arrival_ms", "events", "last", F.col("last.event_id").alias("seq"))
-    )
+_SENSE_POINT = f"""
+named_struct(
+  'unix_time', {_UNIX_TIME},
+  'wave_count', CASE WHEN event_type <> 'view' THEN k % 4 END,
+  'co2', CASE WHEN k % 3 <> 0 THEN 300 + 50 * k END,
+  'pressure', CASE WHEN event_type IN ('click', 'purchase') THEN (890 + 2 * k) * 25600 END,
+  'light_sensor', CASE WHEN event_type IN ('purchase', 'view') THEN named_struct('uv_count', k % 9) END,
+  'light', CASE event_type WHEN 'view' THEN 1250 * k WHEN 'error' THEN 50000 * k END,
+  'dust', CASE WHEN event_type <> 'signup' THEN 20 * k END,
+  'humidity', int(100 * k + 50 * (user_id % 3)),
+  'temperature', 125 * k - 125,
+  'firmware_version', 90 + k % 4)
+"""
 
+_SCAN_ENTRY = "named_struct('ssid', concat('ssid-', k % 5), 'rssi', -30 - k % 60)"
 
-_UNIX_TIME = "e.ms div 1000 + CASE WHEN e.k % 10 = 0 THEN 7200 WHEN e.k % 7 = 0 THEN -1800 ELSE 0 END"
+_PILL = f"named_struct('device_id', concat('pill-', 2 * user_id + k % 2), 'timestamp', {_UNIX_TIME})"
 
-# Formulas of FIXTURES.md; a null field is left out of the JSON.
-_SENSE_PAYLOAD = f"""
+# Per message; ``last`` is the event with the greatest id.
+_SENSE_PAYLOAD = """
 named_struct(
   'uptime_in_second', 100 * last.k * last.k,
   'received_at', arrival_ms,
@@ -65,25 +62,37 @@ named_struct(
     'device_id', concat('sense-', user_id),
     'firmware_version', CASE WHEN user_id % 10 <> 0 THEN int(100 + user_id % 7) END,
     'connected_ssid', CASE WHEN last.event_type <> 'error' THEN concat('ssid-', user_id % 5) END,
-    'scan', transform(events, e -> named_struct('ssid', concat('ssid-', e.k % 5), 'rssi', -30 - e.k % 60)),
-    'data', transform(events, e -> named_struct(
-      'unix_time', {_UNIX_TIME},
-      'wave_count', CASE WHEN e.event_type <> 'view' THEN e.k % 4 END,
-      'co2', CASE WHEN e.k % 3 <> 0 THEN 300 + 50 * e.k END,
-      'pressure', CASE WHEN e.event_type IN ('click', 'purchase') THEN (890 + 2 * e.k) * 25600 END,
-      'light_sensor', CASE WHEN e.event_type IN ('purchase', 'view') THEN named_struct('uv_count', e.k % 9) END,
-      'light', CASE e.event_type WHEN 'view' THEN 1250 * e.k WHEN 'error' THEN 50000 * e.k END,
-      'dust', CASE WHEN e.event_type <> 'signup' THEN 20 * e.k END,
-      'humidity', int(100 * e.k + 50 * (user_id % 3)),
-      'temperature', 125 * e.k - 125,
-      'firmware_version', 90 + e.k % 4))))
+    'scan', events.entry,
+    'data', events.point))
 """
 
-_PILL_PAYLOAD = f"""
-named_struct('pills', transform(events, e -> named_struct(
-  'device_id', concat('pill-', 2 * user_id + e.k % 2),
-  'timestamp', {_UNIX_TIME})))
-"""
+_PILL_PAYLOAD = "named_struct('pills', events.pill)"
+
+
+def _messages(rows: DataFrame, parts: dict[str, str]) -> DataFrame:
+    """Gather the events of each message, ordered by id, with the message ``parts`` of every event.
+
+    The parts are computed before the shuffle, in generated code; a lambda over the gathered array
+    would be interpreted for every event. The explicit shuffle serves the grouping as well:
+    map-side lists would not shrink the rows, and its partitions are not merged by their small
+    byte size, since what follows is heavy on the processor, not on memory.
+    """
+    keys = ["user_id", "day", "part"]
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        rows.selectExpr(
+            "user_id",
+            "day",
+            f"event_id div {EVENTS_PER_MESSAGE} AS part",
+            "ms",
+            "struct(event_id, k, event_type, " + ", ".join(f"{sql} AS {name}" for name, sql in parts.items()) + ") AS event",
+        )
+        .repartition(partitions, *keys)
+        .groupBy(*keys)
+        .agg(F.max("ms").alias("arrival_ms"), F.sort_array(F.collect_list("event")).alias("events"))
+        .withColumn("last", F.element_at("events", -1))
+        .select("user_id", "arrival_ms", "events", "last", F.col("last.event_id").alias("seq"))
+    )
 
 
 def _raw(messages: DataFrame, payload: str) -> DataFrame:
@@ -96,9 +105,10 @@ def _raw(messages: DataFrame, payload: str) -> DataFrame:
 
 
 def sense_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(_messages(events(spark, sf_dir)), _SENSE_PAYLOAD)
+    parts = {"point": _SENSE_POINT, "entry": _SCAN_ENTRY}
+    return _raw(_messages(events(spark, sf_dir), parts), _SENSE_PAYLOAD)
 
 
 def pill_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
-    return _raw(_messages(rows), _PILL_PAYLOAD)
+    return _raw(_messages(rows, {"pill": _PILL}), _PILL_PAYLOAD)
