@@ -5,12 +5,13 @@ from conftest import SF_DIR
 from helpers import rows
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from fleetmeter.plans.catalog import QUERIES
+from fleetmeter.plans.oracle import ORACLES
 
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
