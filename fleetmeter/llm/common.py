@@ -92,18 +92,53 @@ def _powers(n: int, base: int, key: str) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, 64-bit hashes) of the words of UTF-8 bytes; a hash depends on the word's bytes alone."""
+def runs_of(data: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, 64-bit hashes) of the longest runs of bytes outside `gap`; a hash depends on those bytes alone."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    edge = np.flatnonzero(np.diff(gap[data], prepend=True, append=True))
     starts, ends = edge[0::2], edge[1::2]
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _powers(len(data), _BASE, "up"), out=total[1:])
     raw = (total[ends] - total[starts]) * _powers(len(data), _INVERSE, "down")[starts]
     return starts, ends, mix(raw + (ends - starts).astype(np.uint64))
+
+
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, 64-bit hashes) of the words of UTF-8 bytes."""
+    return runs_of(data, SPACE)
+
+
+class Block:
+    """Texts side by side, a line feed between them."""
+
+    def __init__(self, texts: list[bytes]):
+        self.data = np.frombuffer(b"\n".join(texts), np.uint8)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.cumsum(sizes + 1) - sizes - 1
+        self.ends = self.starts + sizes
+        self.many = len(texts)
+
+    def owner(self, places: np.ndarray) -> np.ndarray:
+        """The text that each byte place is in."""
+        return np.searchsorted(self.starts, places, "right") - 1
+
+    def count(self, table: np.ndarray) -> np.ndarray:
+        """For each text, its bytes that `table` marks."""
+        total = np.zeros(len(self.data) + 1, np.int64)
+        np.cumsum(table[self.data], out=total[1:])
+        return total[self.ends] - total[self.starts]
+
+    def tally(self, owners: np.ndarray) -> np.ndarray:
+        return np.bincount(owners, minlength=self.many).astype(np.int64)
+
+
+def byte_table(*marked: int | range) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for m in marked:
+        table[m] = True
+    return table

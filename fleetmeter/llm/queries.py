@@ -5,19 +5,65 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmeter.llm import packing
+from fleetmeter.llm import language, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path
     files = path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return packing.pack_documents(_table(spark, sf_dir, "documents"), *files)
 
 
-QUERIES = {"op7_best_fit_packing": op7_best_fit_packing}
+QUERIES = {
+    "op4_language_id": op4_language_id,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_best_fit_packing": op7_best_fit_packing,
+}
+
+_QUALITY = """
+WITH tokens AS (
+  SELECT doc_id, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS t FROM documents)
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, w2, w3) AS c
+  FROM (SELECT doc_id, i, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM tokens
+        WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+  WHERE w3 IS NOT NULL
+), again AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, (SELECT unnest([0, 1, 2]) AS k) WHERE c > 1 GROUP BY doc_id
+), per_word AS (
+  SELECT doc_id, count(*) AS n, sum(length(w)) AS chars FROM tokens GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT l) AS dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, coalesce(p.n, 0)::BIGINT AS n_words, coalesce(p.chars, 0)::BIGINT AS word_chars,
+    length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(l.dup, 0)::BIGINT AS n_dup_lines, coalesce(a.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(l.n, 0) AS n_lines, length(regexp_replace(coalesce(text, ''), '[^!?]', '', 'g')) AS n_shouts,
+    length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_upper,
+    length(regexp_replace(coalesce(text, ''), '[^a-z]', '', 'g')) AS n_lower
+  FROM documents d LEFT JOIN per_word p USING (doc_id) LEFT JOIN lines l USING (doc_id) LEFT JOIN again a USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 5 * n_lines
+    OR 2 * n_upper > n_upper + n_lower OR 4 * n_shouts > n_words OR word_chars < 2 * n_words
+    OR word_chars > 20 * n_words) AS kept
+FROM base
+"""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_quality_rules": _QUALITY}
