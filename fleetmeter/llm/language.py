@@ -134,8 +134,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Machines:
     if not names:
         return Machines([], {}, [], np.zeros((0, 1)))
     each = max(1, sample // len(names))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("spot"))
-    spots = keyed.select("lang", "spot").withColumn("rank", rank).where(F.col("rank") <= each)
+    spots = keyed.select("lang", "spot", F.pmod("spot", F.lit(16)).alias("salt"))
+    for by in (["lang", "salt"], ["lang"]):  # a frequent language is thinned in shares first
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("spot"))
+        spots = spots.withColumn("rank", rank).where(F.col("rank") <= each)
     bounded = spots.where(F.col("lang").isin(names)).select("lang", "spot").distinct()
     picked = keyed.join(F.broadcast(bounded), ["lang", "spot"]).select("lang", "text")
 

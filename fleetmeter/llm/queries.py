@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, packing, quality
+from fleetmeter.llm import language, packing, quality, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +27,15 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), *files)
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_exact_top_k": op9_exact_top_k,
 }
 
 _QUALITY = """
@@ -66,4 +72,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
-ORACLES: dict[str, str] = {"op5_quality_rules": _QUALITY}
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op5_quality_rules": _QUALITY, "op9_exact_top_k": _TOP_K}
