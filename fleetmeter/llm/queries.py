@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, packing, quality, topk
+from fleetmeter.llm import language, packing, quality, suffix_tree, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scored(_table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path
     files = path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -34,6 +38,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_exact_top_k": op9_exact_top_k,
 }
