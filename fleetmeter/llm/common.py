@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass works on at a time.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 18
 
 
 def scratch(spark: SparkSession, name: str) -> str:

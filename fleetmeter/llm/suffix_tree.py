@@ -46,7 +46,7 @@ WORDS = 1000
 SYMBOLS = 257
 FOLLOW = SYMBOLS + WORDS
 STRIP = 256
-#: Words that a task counts before it hands them on.
+#: Words, or half the grams, that a task holds before it hands them on.
 HELD = 200_000
 
 
@@ -105,9 +105,9 @@ def count_grams(texts: DataFrame, keys: np.ndarray, depth: int = DEPTH) -> DataF
             texts = text_bytes(batch.column(0))
             for a, b in slices(np.array([len(t) for t in texts])):
                 held.append(_grams(texts[a:b], depth, keys))
-                if sum(len(k) for k, _ in held) > 2_000_000:
+                if sum(len(k) for k, _ in held) > 3 * HELD:
                     held = [merged()]
-                    if len(held[0][0]) > 1_000_000:
+                    if len(held[0][0]) > 2 * HELD:
                         yield send(held.pop())
         if held:
             yield send(merged())
@@ -138,7 +138,7 @@ def kept_contexts(grams: DataFrame, depth: int = DEPTH, share: float = SHARE, di
 
 
 class Automaton:
-    """States are the kept contexts. step[state, byte] is the next state, gain[state, symbol] a log10 probability."""
+    """States are the kept contexts and their prefixes. step[state, byte] is the next state, gain[state, symbol] a log10 probability."""
 
     def __init__(self, rows: dict[str, np.ndarray], keys: np.ndarray, depth: int = DEPTH):
         k, context, symbol, n = (rows[c] for c in ("k", "context", "symbol", "n"))
@@ -155,15 +155,17 @@ class Automaton:
         self.sign[signs] = np.arange(len(signs))
         self.signs = len(signs) + 1
         levels = [np.unique(context[k == j]) for j in range(depth + 1)]
+        for j in range(depth, 0, -1):  # a state is reached through its prefixes, and falls back to its suffixes
+            levels[j - 1] = np.unique(np.concatenate([levels[j - 1], levels[j] // SYMBOLS, levels[j] % SYMBOLS ** (j - 1)]))
         if not len(levels[0]):
             levels[0] = np.zeros(1, np.int64)
         first = np.cumsum([0] + [len(x) for x in levels])
-        chance = np.ones((first[-1], self.width))
+        chance = np.ones((first[-1], self.width), np.float32)
         step = np.zeros((first[-1], self.signs), np.int32)
         for j, own in enumerate(levels):
             if not len(own):
                 continue
-            counts = np.zeros((len(own), self.width - 1))
+            counts = np.zeros((len(own), self.width - 1), np.float32)
             pick = k == j
             np.add.at(counts, (np.searchsorted(own, context[pick]), self.column[symbol[pick]]), n[pick])
             size = counts.sum(1, keepdims=True)
@@ -182,11 +184,11 @@ class Automaton:
                     target[hit] = first[m] + place[hit]
             step[first[j] : first[j + 1], :-1] = target
         self.step = step.ravel()
-        self.gain = np.log10(chance).astype(np.float32).ravel()
         spells = np.isin(np.arange(self.width), self.column[1:SYMBOLS][np.isin(np.arange(1, SYMBOLS), seen)])
         # the shared column stands for each symbol never seen; the bytes among them may begin a word too
         unseen = SYMBOLS - 1 - np.isin(np.arange(1, SYMBOLS), seen).sum()
-        self.escape = np.log10(chance[:, spells].sum(1) + unseen * chance[:, -2])
+        self.escape = np.log10(chance[:, spells].sum(1, dtype=np.float64) + unseen * chance[:, -2])
+        self.gain = np.log10(chance, out=chance).ravel()
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text, the log10 probability of its frequent words, its choices to spell and its end; for each word
