@@ -76,7 +76,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -103,7 +103,7 @@ def runs_of(data: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     edge = np.flatnonzero(np.diff(gap[data], prepend=True, append=True))
     starts, ends = edge[0::2], edge[1::2]
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _powers(len(data), _BASE, "up"), out=total[1:])
+    np.cumsum(BYTE_HASH[data] * _powers(len(data), _BASE, "up"), out=total[1:])
     raw = (total[ends] - total[starts]) * _powers(len(data), _INVERSE, "down")[starts]
     return starts, ends, mix(raw + (ends - starts).astype(np.uint64))
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, packing, quality, recompression, suffix_tree, topk
+from fleetmeter.llm import language, packing, quality, recompression, suffix_dedup, suffix_tree, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_copies(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
@@ -46,6 +50,7 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 _QUALITY = """
