@@ -133,11 +133,17 @@ def settled(ordered: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
             some = np.concatenate([shared[at : at + n], before[at : at + n]])
             out.append(np.packbits(some).tobytes() if some.any() else None)
             at += n
-        return pd.DataFrame({"block": rows["block"], "kind": rows["kind"], "bucket": rows["bucket"], "bits": out})
+        return told(rows, out)
 
     return work
 
 
+def told(rows: pd.DataFrame, bits: list[bytes | None]) -> pd.DataFrame:
+    """The answers to the rows that have one."""
+    out = pd.DataFrame({"block": rows["block"], "kind": rows["kind"], "bucket": rows["bucket"], "bits": bits})
+    return out[[b is not None for b in bits]]
+
+
 ASKED = "block long, kind int, bucket int, payload binary"
 
 
@@ -171,8 +177,7 @@ def of_kind(answers: dict[tuple[int, int], bytes], kind: int) -> dict[int, bytes
 def answered(asked: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], name: str) -> DataFrame:
     """Per block, the answers that are not all no."""
     bits = asked.groupBy("kind", "bucket").applyInPandas(work, "block long, kind int, bucket int, bits binary")
-    bits = bits.where("bits is not null").groupBy("block")
-    return stored(bits.agg(F.collect_list(F.struct("kind", "bucket", "bits")).alias("answers")), name)
+    return stored(bits.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "bits")).alias("answers")), name)
 
 
 def with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ represented by an anchor, the least hash of the strings of `GRAM` bytes inside i
 content. A first Spark round finds the anchors that several blocks have, and the long strings (from an anchor to the
 second next, or a whole document) that an earlier document has; what lies inside those needs no second look, since the
 earliest occurrence of a string is never inside one. The rest, runs of strings around a shared anchor, go to the bucket
-of the anchor's hash. A bucket sorts the suffixes of its runs up to `WINDOW` bytes by prefix doubling and computes, for
+of the anchor's hash. A bucket sorts the suffixes of its runs up to `WINDOW` bytes by multiplying prefixes and computes, for
 every suffix, the longest factor it shares with one of a smaller document: the previous and next smaller document in
 suffix order. Later copies go, the first stays.
 
@@ -31,7 +31,7 @@ WINDOW, GRAM = 50, 24
 #: One in so many anchors bounds a long string.
 THIN = 8
 #: Bytes of text in a block.
-SIZE = 1 << 19
+SIZE = 1 << 20
 _ODD = 0xD6E8FEB86659FD9D
 
 
@@ -162,6 +162,17 @@ class Parsed:
         return X.covered(len(self.block.data) + 1, at, at + self.window)[:-1]
 
 
+def _ranked(value: np.ndarray) -> np.ndarray:
+    """The rank of each value among the distinct ones."""
+    order = np.argsort(value)
+    sorted_value = value[order]
+    new = np.zeros(len(value), np.uint32)
+    new[1:] = sorted_value[1:] != sorted_value[:-1]
+    rank = np.empty(len(value), np.uint32)
+    rank[order] = np.cumsum(new, dtype=np.uint32)
+    return rank
+
+
 def suffix_ranks(data: np.ndarray, window: int) -> np.ndarray:
     """The rank of each suffix among all by its first `window` bytes; data has `window` bytes to spare at its end."""
     size, width = len(data) - window, 1
@@ -169,12 +180,19 @@ def suffix_ranks(data: np.ndarray, window: int) -> np.ndarray:
     while width < 8 and 2 * width <= window:
         value = (value[: len(value) - width] << np.uint64(8 * width)) | value[width:]
         width *= 2
-    rank = np.unique(value, return_inverse=True)[1].astype(np.uint32)
+    rank = _ranked(value)
     while width < window:
-        step = min(width, window - width)
-        pair = (rank[: len(rank) - step].astype(np.uint64) << np.uint64(32)) | rank[step:]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.uint32)
-        width += step
+        if len(rank) < 1 << 21:  # three ranks fit a number
+            step = min(width, (window - width + 1) // 2)
+            last = min(window - width, 2 * step)
+            size_left = len(rank) - last
+            wide = rank[:size_left].astype(np.uint64) << np.uint64(42)
+            rank = _ranked(wide | rank[step : step + size_left].astype(np.uint64) << np.uint64(21) | rank[last:])
+            width += last
+        else:
+            step = min(width, window - width)
+            rank = _ranked((rank[: len(rank) - step].astype(np.uint64) << np.uint64(32)) | rank[step:])
+            width += step
     return rank[:size]
 
 
@@ -214,7 +232,7 @@ def _settled(window: int):
         hit = longest_previous(rank[place], np.repeat(doc, n), window) >= window
         ends = np.cumsum(many)
         bits = [np.packbits(hit[e - m : e]).tobytes() if hit[e - m : e].any() else None for e, m in zip(ends, many, strict=True)]
-        return pd.DataFrame({"block": rows["block"], "kind": rows["kind"], "bucket": rows["bucket"], "bits": bits})
+        return X.told(rows, bits)
 
     return work
 
