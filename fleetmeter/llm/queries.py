@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, packing, quality, recompression, suffix_dedup, suffix_tree, topk
+from fleetmeter.llm import language, near_duplicates, packing, quality, recompression, suffix_dedup, suffix_tree, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_lm_scoring": op6_lm_scoring,
