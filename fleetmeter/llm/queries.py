@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, near_duplicates, packing, quality, recompression, suffix_dedup, suffix_tree, topk
+from fleetmeter.llm import language, line_dedup, near_duplicates, packing, quality, recompression, suffix_dedup, suffix_tree, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
@@ -104,4 +109,28 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op5_quality_rules": _QUALITY, "op9_exact_top_k": _TOP_K}
+_LINES = """
+WITH l AS (
+  SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+), h AS (
+  SELECT doc_id, i, ls[i] AS line, ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS h FROM l
+), b AS (
+  SELECT *, (h + 31 * coalesce(lag(h, 1) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0)) % 4 = 0 AS ends
+  FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), c AS (
+  SELECT doc_id, i, line, coalesce(sum(ends::INTEGER) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM b
+), k AS (
+  SELECT doc_id, pos, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM c GROUP BY doc_id, pos
+), r AS (
+  SELECT *, n > 1 AND row_number() OVER (PARTITION BY n > 1, t ORDER BY doc_id, pos) > 1 AS gone FROM k
+)
+SELECT r.doc_id, CASE WHEN any_value(coalesce(d.text, '')) = '' THEN 0 ELSE sum(n) END::BIGINT AS n_lines,
+  CASE WHEN any_value(coalesce(d.text, '')) = '' THEN 0 ELSE count(*) END::BIGINT AS n_chunks,
+  coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(t, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM r JOIN documents d USING (doc_id) GROUP BY r.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": _LINES, "op5_quality_rules": _QUALITY, "op9_exact_top_k": _TOP_K}
