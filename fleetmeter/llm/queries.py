@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, line_dedup, near_duplicates, packing, quality, recompression, suffix_dedup, suffix_tree, topk
+from fleetmeter.llm import language, line_dedup, near_duplicates, packing, quality, recompression, sentence_pieces, suffix_dedup, suffix_tree, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.summary(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encoded(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_sentence_pieces": op2_sentence_pieces,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
