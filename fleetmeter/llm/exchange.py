@@ -26,8 +26,9 @@ BUCKET = 4 << 20
 NO_ID = -(1 << 63)
 
 
-def blocks_of(docs: DataFrame, size: int = BLOCK) -> DataFrame:
-    """block, size and payload: the ids and texts of about `size` bytes of text as a compressed Arrow table."""
+def blocks_of(docs: DataFrame, size: int = BLOCK, whole: bool = False) -> DataFrame:
+    """block, size and payload: the ids and texts of about `size` bytes of text as a compressed Arrow table. With
+    `whole`, each row's other columns travel along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -36,6 +37,8 @@ def blocks_of(docs: DataFrame, size: int = BLOCK) -> DataFrame:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
             plain = pa.table({"doc_id": batch.column(0), "text": batch.column(1).cast(pa.binary())})
+            if whole:
+                plain = plain.append_column("rest", batch.column(2))
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
             for a, b in slices(sizes, size):
                 sink = pa.BufferOutputStream()
@@ -45,7 +48,11 @@ def blocks_of(docs: DataFrame, size: int = BLOCK) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["block", "size", "payload"])
                 number += 1
 
-    return texts_of(docs).mapInArrow(run, "block long, size long, payload binary")
+    rows = texts_of(docs)
+    if whole:
+        rest = F.struct(*(c for c in docs.columns if c != "text"))
+        rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), rest.alias("rest"))
+    return rows.mapInArrow(run, "block long, size long, payload binary")
 
 
 def opened(payload: bytes) -> tuple[list[int | None], list[bytes]]:
@@ -54,6 +61,11 @@ def opened(payload: bytes) -> tuple[list[int | None], list[bytes]]:
     return table.column(0).to_pylist(), text_bytes(table.column(1).combine_chunks())
 
 
+def rest_of(payload: bytes) -> pa.Array:
+    """The other columns of a block's rows, as structs."""
+    return pa.ipc.open_stream(payload).read_all().column("rest").combine_chunks()
+
+
 class Keys:
     """Distinct 96-bit keys of a block, with the least place (document, position) of each."""
 

@@ -116,7 +116,7 @@ class Parsed:
         new = np.ones(len(live), bool)
         new[1:] = self.anchor[live][1:] != self.anchor[live][:-1]
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(live)) - 1
+        last = np.append(first[1:], len(live))[: len(first)] - 1
         first, last = live[first], live[last]
         hashes = self.hash[self.anchor[first]]
         doc = self.ids[self.block.owner(self.opens[first])]
@@ -237,9 +237,9 @@ def _settled(window: int):
     return work
 
 
-def remove_copies(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `texts` the bytes that stay."""
-    blocks = stored(X.blocks_of(docs, SIZE), "suffix-blocks")
+def _decided(docs: DataFrame, window: int, gram: int, whole: bool = False) -> tuple[DataFrame, int]:
+    """Blocks with all their answers, and the number of buckets."""
+    blocks = stored(X.blocks_of(docs, SIZE, whole), "suffix-blocks")
     buckets = X.buckets_for(blocks)
 
     def first(block: int, payload: bytes, answers: dict):
@@ -253,28 +253,57 @@ def remove_copies(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, texts
     looked = X.answered(X.ask(X.with_answers(blocks, names), second), settle, "suffix-runs")
     both = names.withColumnRenamed("answers", "one").join(looked.withColumnRenamed("answers", "two"), "block", "full")
     both = both.selectExpr("block", "concat(coalesce(one, array()), coalesce(two, array())) as answers")
+    return X.with_answers(blocks, both), buckets
+
+
+def _kept(row: dict, buckets: int, window: int, gram: int):
+    """Of each document of a block: its id, its text, its bytes that stay, and the number of removed runs."""
+    ids, raw = X.opened(row["payload"])
+    parsed = Parsed(ids, raw, window, gram)
+    gone = parsed.removed(buckets, X.given(row))
+    for i, a, b, text in zip(ids, parsed.block.starts.tolist(), parsed.block.ends.tolist(), raw, strict=True):
+        lost = gone[a:b]
+        if lost.any():
+            yield i, text, parsed.block.data[a:b][~lost].tobytes(), int(np.count_nonzero(np.diff(lost, prepend=False) & lost))
+        else:
+            yield i, text, text, 0
+
+
+def remove_copies(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, texts: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `texts` the bytes that stay."""
+    blocks, buckets = _decided(docs, window, gram)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
 
     def make():
         def work(batch: pa.RecordBatch):
             for row in batch.to_pylist():
-                ids, raw = X.opened(row["payload"])
-                parsed = Parsed(ids, raw, window, gram)
-                gone = parsed.removed(buckets, X.given(row))
-                out: list[list] = [[], [], [], []]
-                for a, b, text in zip(parsed.block.starts.tolist(), parsed.block.ends.tolist(), raw, strict=True):
-                    lost = gone[a:b]
-                    kept = parsed.block.data[a:b][~lost].tobytes() if lost.any() else text
-                    spans = int(np.count_nonzero(np.diff(lost, prepend=False) & lost)) if lost.any() else 0
-                    for column, value in zip(out, (len(text), len(text) - len(kept), spans, kept), strict=True):
-                        column.append(value)
-                arrays = [pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in out[:3])]
-                arrays.append(pa.array([hashlib.sha256(t).hexdigest() for t in out[3]], pa.string()))
-                if texts:
-                    arrays.append(pa.array(out[3], pa.binary()))
-                yield pa.RecordBatch.from_arrays(arrays, columns)
+                ids, raw, kept, spans = zip(*_kept(row, buckets, window, gram), strict=True)
+                arrays = [pa.array(ids, pa.int64()), pa.array([len(t) for t in raw], pa.int64())]
+                arrays += [pa.array([len(t) - len(k) for t, k in zip(raw, kept, strict=True)], pa.int64())]
+                arrays += [pa.array(spans, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
+                yield pa.RecordBatch.from_arrays(arrays + [pa.array(kept, pa.binary())] * texts, columns)
 
         return work
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
-    return arrow_map(X.with_answers(blocks, both), schema, make)
+    return arrow_map(blocks, schema, make)
+
+
+def replace_texts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The rows of docs with the text that stays; a character that a removal cuts into goes whole. Null stays null."""
+    blocks, buckets = _decided(docs, window, gram, whole=True)
+    rest = [f for f in docs.schema.fields if f.name != "text"]
+
+    def make():
+        def work(batch: pa.RecordBatch):
+            for row in batch.to_pylist():
+                kept = [k.decode("utf-8", "ignore") for _, _, k, _ in _kept(row, buckets, window, gram)]
+                null = pa.ipc.open_stream(row["payload"]).read_all().column("text").combine_chunks().is_null()
+                text = pa.array(kept, pa.string(), mask=null.to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([X.rest_of(row["payload"]), text], ["rest", "text"])
+
+        return work
+
+    kinds = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in rest)
+    out = arrow_map(blocks, f"rest struct<{kinds}>, text string", make)
+    return out.select(*("text" if c == "text" else f"rest.`{c}`" for c in docs.columns))
