@@ -51,10 +51,10 @@ def bags(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
         keys, docs = [key[whole]], [owner[: len(key)][whole]]
     begin = np.cumsum(many) - many
     for i in np.flatnonzero((many > 0) & (many < size)):
-        key = np.uint64(many[i])
-        for w in words[begin[i] : begin[i] + many[i]]:
-            key = mix(np.array([key * _A + w]))[0]
-        keys.append(np.array([key]))
+        key = many[i : i + 1].astype(np.uint64)
+        for k in range(begin[i], begin[i] + many[i]):
+            key = mix(key * _A + words[k : k + 1])
+        keys.append(key)
         docs.append(np.array([i]))
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -77,7 +77,7 @@ def signatures(many: int, doc: np.ndarray, key: np.ndarray, weight: np.ndarray,
         if not len(pick):
             break
         docs.append(doc[pick])
-        seeds.append(mix(key[pick] + np.uint64(shell) * _B))
+        seeds.append(mix(key[pick] + np.array([shell], np.uint64) * _B))
         lows.append(np.full(len(pick), low))
         rates.append(np.full(len(pick), float(width)))
         tops.append(weight[pick])
@@ -89,7 +89,7 @@ def signatures(many: int, doc: np.ndarray, key: np.ndarray, weight: np.ndarray,
     docs, seeds, lows, rates, tops = (np.concatenate(x) for x in (docs, seeds, lows, rates, tops))
     time, number = np.zeros(len(docs)), 0
     while len(docs):
-        draw = mix(seeds + np.uint64(number) * _A)
+        draw = mix(seeds + np.array([number], np.uint64) * _A)
         time = time - np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53) / rates
         other = mix(draw ^ _B)
         level = lows + ((other >> np.uint64(32)).astype(np.float64) * 2.0**-32 * rates).astype(np.int64)
