@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,20 @@ def marked(text: str) -> str:
     return SIGN + text.replace(" ", SIGN) if text else ""
 
 
+class Words(dict):
+    """Score and ids of each word met so far."""
+
+    def __init__(self, solve):
+        super().__init__()
+        self.solve = solve
+
+    def __missing__(self, part: str) -> tuple[float, bytes]:
+        got = self.solve(part)
+        if len(part) <= 64:
+            self[part] = got
+        return got
+
+
 class Model:
     """Pieces, scores and the dynamic programme over them."""
 
@@ -55,28 +70,23 @@ class Model:
             self.raw[i] = piece.encode()
         for value, i in self.bytes.items():
             self.raw[i] = bytes([value])
-        self.known: dict[str, tuple[float, bytes]] = {}
-
-    def steps(self, text: str, at: int):
-        """(end, score) of the pieces that begin at a place, longest first."""
-        single = False
-        for end in range(min(len(text), at + self.longest), at, -1):
-            found = self.pieces.get(text[at:end])
-            if found:
-                single = single or end == at + 1
-                yield end, found[0]
-        if not single:
-            yield at + 1, self.unknown
+        self.known = Words(self._solved)
 
     def paths(self, text: str, start: int, stop: int) -> tuple[list[float], list[int]]:
         """For each place, the best score from `start` and where the last piece begins. Pieces begin before `stop`."""
-        best, back = [-np.inf] * (len(text) + 1), [-1] * (len(text) + 1)
+        size, find, longest = len(text), self.pieces.get, self.longest
+        best, back = [-np.inf] * (size + 1), [-1] * (size + 1)
         best[start] = 0.0
         for at in range(start, stop):
-            if best[at] > -np.inf:
-                for end, score in self.steps(text, at):
-                    if best[at] + score > best[end]:
-                        best[end], back[end] = best[at] + score, at
+            so_far = best[at]
+            if so_far == -np.inf:
+                continue
+            for end in range(min(size, at + longest), at, -1):
+                found = find(text[at:end])
+                if found is not None and so_far + found[0] > best[end]:
+                    best[end], back[end] = so_far + found[0], at
+            if found is None and so_far + self.unknown > best[at + 1]:  # not even the character is a piece
+                best[at + 1], back[at + 1] = so_far + self.unknown, at
         return best, back
 
     def ids(self, text: str, back: list[int], start: int, end: int) -> bytes:
@@ -89,21 +99,22 @@ class Model:
             end = at
         return np.array(out[::-1], "<u4").tobytes()
 
+    def _solved(self, part: str) -> tuple[float, bytes]:
+        best, back = self.paths(part, 0, len(part))
+        return best[-1], self.ids(part, back, 0, len(part))
+
     def word(self, part: str) -> tuple[float, bytes]:
-        got = self.known.get(part)
-        if got is None:
-            best, back = self.paths(part, 0, len(part))
-            got = best[-1], self.ids(part, back, 0, len(part))
-            if len(part) <= 64:
-                self.known[part] = got
-        return got
+        return self.known[part]
 
     def encode(self, text: str) -> tuple[float, bytes]:
         """Score and ids of a text."""
         if len(self.known) > CACHE:
             self.known.clear()
-        got = list(map(self.word, _PART.findall(marked(text))))
-        return sum(s for s, _ in got), b"".join(i for _, i in got)
+        got = list(map(self.known.__getitem__, _PART.findall(marked(text))))
+        if not got:
+            return 0.0, b""
+        scores, ids = zip(*got, strict=True)
+        return sum(scores), b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -149,6 +160,12 @@ class Model:
         return self.ids(head, back, start, len(head)) + middle + self.ids(tail, last, 0, size + end - walls[-1])
 
 
+@lru_cache(maxsize=2)
+def model_of(path: str) -> Model:
+    """One model, and its words, for all tasks of a worker."""
+    return Model(path)
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus product."""
     return (a[:, :, None] + b[None, :, :]).max(1)
@@ -194,7 +211,7 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         return pa.RecordBatch.from_arrays(arrays + [pa.array(raw, pa.binary())] * ids, names)
 
     def whole():
-        model = Model(path)
+        model = model_of(path)
 
         def work(batch: pa.RecordBatch):
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
@@ -205,7 +222,7 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         return work
 
     def cut():
-        model = Model(path)
+        model = model_of(path)
 
         def work(batch: pa.RecordBatch):
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -220,7 +237,7 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         return work
 
     def weigh():
-        model = Model(path)
+        model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             parts, sizes = batch.column("part").to_pylist(), batch.column("size").to_pylist()
@@ -236,7 +253,7 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         return pd.DataFrame({"uid": own["uid"], "k": own["k"], "first": border[:-1], "last": border[1:], "total": total})
 
     def trace():
-        model = Model(path)
+        model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = batch.to_pylist()
@@ -246,7 +263,7 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         return work
 
     def join_up():
-        model = Model(path)
+        model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             raw = [b"".join(p["ids"] for p in sorted(parts, key=lambda p: p["k"])) for parts in batch.column("parts").to_pylist()]
@@ -268,7 +285,7 @@ def decoded(encodings: DataFrame, path: str) -> DataFrame:
     """doc_id and text of rows with doc_id and ids (little-endian bytes)."""
 
     def make():
-        model = Model(path)
+        model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [model.decode(i or b"") for i in batch.column(1).to_pylist()]
