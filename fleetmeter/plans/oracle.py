@@ -12,18 +12,17 @@ from fleetmeter.plans.streams import STREAMS
 _BASE = """
 WITH RECURSIVE ev AS (
   SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS d, epoch_us(ts) // 1000 AS ms,
-         CAST(regexp_extract(props, '"k"[ ]*:[ ]*([0-9]+)', 1) AS INTEGER) AS k,
-         event_id // 100000 AS part
+         CAST(regexp_extract(props, '"k"[ ]*:[ ]*([0-9]+)', 1) AS INTEGER) AS k
   FROM events
 ), sp AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id, d, part ORDER BY event_id) - 1 AS position,
-         row_number() OVER (PARTITION BY user_id, d, part ORDER BY event_id DESC) AS from_end,
+  SELECT *, row_number() OVER (PARTITION BY user_id, d ORDER BY event_id) - 1 AS position,
+         row_number() OVER (PARTITION BY user_id, d ORDER BY event_id DESC) AS from_end,
          ms // 1000 + CASE WHEN k % 10 = 0 THEN 7200 WHEN k % 7 = 0 THEN -1800 ELSE 0 END AS unix_time
   FROM ev
 ), sr AS (
-  SELECT user_id, d, part, max(event_id) AS seq, max(ms) AS received_at,
+  SELECT user_id, d, max(event_id) AS seq, max(ms) AS received_at,
          printf('shardId-%012d', user_id % 4) AS shard_id, 'sense-' || user_id AS device_id
-  FROM ev GROUP BY user_id, d, part
+  FROM ev GROUP BY user_id, d
 ), sm AS (
   SELECT sr.*, sp.k, sp.event_type, 100 * sp.k * sp.k AS uptime,
          CASE WHEN sp.event_type = 'error' THEN '' ELSE 'ssid-' || (sr.user_id % 5) END AS ssid,
@@ -41,15 +40,15 @@ WITH RECURSIVE ev AS (
          CASE sp.event_type WHEN 'view' THEN 1250 * sp.k WHEN 'error' THEN 50000 * sp.k ELSE 0 END AS light,
          CASE WHEN sp.event_type = 'signup' THEN NULL ELSE 20 * sp.k END AS dust,
          100 * sp.k + 50 * (sp.user_id % 3) AS hum, 125 * sp.k - 125 AS tmp, 90 + sp.k % 4 AS point_fw
-  FROM sm JOIN sp USING (user_id, d, part)
+  FROM sm JOIN sp USING (user_id, d)
 ), pr AS (
-  SELECT user_id, d, part, max(event_id) AS seq, max(ms) AS arrival_ms,
+  SELECT user_id, d, max(event_id) AS seq, max(ms) AS arrival_ms,
          printf('shardId-%012d', user_id % 4) AS shard_id
-  FROM ev WHERE event_type IN ('click', 'view') GROUP BY user_id, d, part
+  FROM ev WHERE event_type IN ('click', 'view') GROUP BY user_id, d
 ), pl AS (
   SELECT pr.seq, pr.shard_id, pr.arrival_ms, 'pill-' || (2 * sp.user_id + sp.k % 2) AS device_id,
          sp.unix_time * 1000 AS seen_at, sp.event_id AS ord
-  FROM pr JOIN sp USING (user_id, d, part)
+  FROM pr JOIN sp USING (user_id, d)
   WHERE pr.seq % 97 <> 0 AND sp.event_type IN ('click', 'view')
 )"""
 
@@ -61,7 +60,7 @@ _WIFI = (
     _LAST
     + """, scan AS (
   SELECT lastm.device_id, 'ssid-' || (sp.k % 5) AS entry, -30 - sp.k % 60 AS rssi, sp.position
-  FROM lastm JOIN sp USING (user_id, d, part)
+  FROM lastm JOIN sp USING (user_id, d)
 ), hit AS (
   SELECT scan.device_id, scan.rssi,
          row_number() OVER (PARTITION BY scan.device_id ORDER BY scan.position) AS rn

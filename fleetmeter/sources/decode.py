@@ -19,21 +19,23 @@ _CORRUPT = "_corrupt"
 def parse(raw: DataFrame, message: T.StructType) -> DataFrame:
     """Raw columns plus ``message`` (struct) and ``malformed`` (boolean) for every record.
 
-    A record is malformed when its payload is missing, is not JSON, or has a field of the wrong
-    type. The parsed struct passes through a one-element ``inline`` so that a filter on the result
+    A record is malformed unless its payload is exactly one JSON object whose fields have the right
+    types. The payload is parsed as a member of an object that also holds the payload's hash and no
+    third key, so neither text after the message nor a second message goes unnoticed.
+    The parsed struct passes through a one-element ``inline`` so that a filter on the result
     is not pushed below the parser, which would read every payload twice.
     """
-    with_corrupt = T.StructType([*message.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        F.col("payload").cast("string"),
-        with_corrupt,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
+    text = F.col("payload").cast("string")
+    wrapped = F.concat(F.lit('{"m":'), text, F.lit(',"z":'), F.xxhash64(text).cast("string"), F.lit("}"))
+    outer = T.StructType(
+        [T.StructField("m", message), T.StructField("z", T.LongType()), T.StructField(_CORRUPT, T.StringType())]
     )
+    parsed = F.from_json(wrapped, outer, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     columns = ["shard_id", "sequence_number", "arrival_ms", "payload"]
+    whole = (F.size(F.json_object_keys(wrapped)) == 2) & (F.col("parsed.z") == F.xxhash64(text))
+    good = F.col("parsed.m").isNotNull() & F.col(f"parsed.{_CORRUPT}").isNull() & whole
     return raw.select(*columns, F.inline(F.array(F.struct(parsed.alias("parsed"))))).select(
-        *columns,
-        F.col("parsed").alias("message"),
-        (F.col("parsed").isNull() | F.col(f"parsed.{_CORRUPT}").isNotNull()).alias("malformed"),
+        *columns, F.col("parsed.m").alias("message"), (~F.coalesce(good, F.lit(False))).alias("malformed")
     )
 
 

@@ -1,8 +1,6 @@
 """Example streams: sense and pill records derived from the ``events`` table (see FIXTURES.md).
 
-One message stands for the events of one user on one day. A message never holds more than
-``EVENTS_PER_MESSAGE`` events, whatever the user's share of the table: the id range of the event
-is part of the grouping key, so a hot user yields more messages, not larger ones.
+One message stands for the events of one user on one day, at every scale.
 """
 
 from __future__ import annotations
@@ -12,8 +10,6 @@ from pyspark.sql import functions as F
 
 from fleetmeter.functions.clock import utc_session
 
-EVENTS_PER_MESSAGE = 100_000
-
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` reduced to the columns the derivation reads."""
@@ -74,20 +70,17 @@ def _messages(rows: DataFrame, parts: dict[str, str]) -> DataFrame:
 
     The parts are computed before the shuffle, in generated code; a lambda over the gathered array
     would be interpreted for every event. The explicit shuffle serves the grouping as well:
-    map-side lists would not shrink the rows, and its partitions are not merged by their small
-    byte size, since what follows is heavy on the processor, not on memory.
+    map-side lists would not shrink the rows. Its number of partitions is left to adaptive execution.
     """
-    keys = ["user_id", "day", "part"]
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["user_id", "day"]
     return (
         rows.selectExpr(
             "user_id",
             "day",
-            f"event_id div {EVENTS_PER_MESSAGE} AS part",
             "ms",
             "struct(event_id, k, event_type, " + ", ".join(f"{sql} AS {name}" for name, sql in parts.items()) + ") AS event",
         )
-        .repartition(partitions, *keys)
+        .repartition(*keys)
         .groupBy(*keys)
         .agg(F.max("ms").alias("arrival_ms"), F.sort_array(F.collect_list("event")).alias("events"))
         .withColumn("last", F.element_at("events", -1))

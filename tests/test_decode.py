@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from helpers import message, point, raw, readings, rows, sense
 
@@ -55,3 +57,12 @@ def test_broker_rows(spark):
 def test_payload_is_parsed_once(spark, capsys):
     decode.sense_messages(decode.parse(raw(spark, GOOD), schemas.SENSE_MESSAGE)).explain()
     assert capsys.readouterr().out.count("from_json(") == 1
+
+
+def test_a_payload_is_exactly_one_object(spark):
+    good = json.dumps(message("d"))
+    bad = [f"{good} junk", f"{good}{good}", f"{good}, {good}", f'{good}, "x": {good}', f'{good}, "m": {good}', f"{good}}} junk"]
+    bad += [f'{good}, "z": 1}} junk', "", "null", f"[{good}]", '{"received_at": "x"}', "3", None]
+    parsed = decode.parse(raw(spark, *bad, good, f" {good} \n"), schemas.SENSE_MESSAGE)
+    flags = [r["malformed"] for r in sorted(parsed.collect(), key=lambda r: int(r["sequence_number"]))]
+    assert flags == [True] * len(bad) + [False] * 2

@@ -31,10 +31,10 @@ def skewed(spark, tmp_path_factory):
     return path
 
 
-def test_a_message_has_a_bounded_size(spark, skewed, monkeypatch):
-    monkeypatch.setattr(derived, "EVENTS_PER_MESSAGE", 10_000)
-    sizes = decode.decode_sense(derived.sense_raw(spark, skewed)).select(F.size("points").alias("n"))
-    assert sizes.agg(F.max("n")).first()[0] <= 10_000
+def test_a_message_is_one_user_and_day(spark, skewed):
+    """Also for the user with a third of all events."""
+    source = derived.events(spark, skewed)
+    assert derived.sense_raw(spark, skewed).count() == source.select("user_id", "day").distinct().count()
 
 
 def test_skewed_input_equals_sql(spark, skewed):
