@@ -71,7 +71,7 @@ def with_hour_key(hours: DataFrame) -> DataFrame:
 
 
 def hourly_active_sense(messages: DataFrame) -> DataFrame:
-    return with_hour_key(active_hours(messages, "received_at"))
+    return with_hour_key(active_hours(messages, "arrival_ms"))
 
 
 def hourly_active_pill(readings: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def wave_counts(messages: DataFrame) -> DataFrame:
 
 def low_uptime_first(messages: DataFrame) -> DataFrame:
     """Each (shard, hour, device) that reported a low uptime, with its first arrival; associative."""
-    hour = clock.floor_ms(F.col("received_at"), clock.HOUR_MS)
+    hour = clock.floor_ms(F.col("arrival_ms"), clock.HOUR_MS)
     rows = messages.where(F.col("uptime_seconds") <= LOW_UPTIME_SECONDS).select(
         "shard_id", hour.alias("hour_start"), "device_id", F.col("arrival_ms").alias("first_ms")
     )
@@ -62,7 +62,7 @@ def low_uptime_devices(messages: DataFrame) -> DataFrame:
 
 def low_uptime_devices_approx(messages: DataFrame) -> DataFrame:
     """The same with a mergeable sketch: one shuffle, a few kilobytes per (shard, hour)."""
-    hour = clock.floor_ms(F.col("received_at"), clock.HOUR_MS)
+    hour = clock.floor_ms(F.col("arrival_ms"), clock.HOUR_MS)
     return (
         messages.where(F.col("uptime_seconds") <= LOW_UPTIME_SECONDS)
         .groupBy("shard_id", hour.alias("hour_start"))

@@ -33,7 +33,7 @@ MAX_AHEAD_MS = 60 * clock.MINUTE_MS
 _KEPT = "shard_id string, ts long, sequence_number string"
 
 
-def sense_times(messages: DataFrame, clock_column: str = "received_at") -> DataFrame:
+def sense_times(messages: DataFrame, clock_column: str = "arrival_ms") -> DataFrame:
     return messages.select(
         "shard_id",
         "sequence_number",

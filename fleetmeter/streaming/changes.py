@@ -51,21 +51,31 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{_FOLDER}="))
 
 
+def _committed(spark: SparkSession, path: str, name: str) -> bool:
+    """Whether the job that wrote the folder has ended; a failed one leaves the folder without the marker."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_FOLDER}={name}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def fold(spark: SparkSession, path: str, through: int, reduce: Reduce) -> None:
     """Fold the folders up to batch ``through`` into one.
 
-    The folders that went in stay for readers that have listed them, until the next fold. Call it
-    only for batches that are complete.
+    The folders that went in stay for readers that have listed them, until the next fold. What a
+    failed fold has left counts for nothing: its sources are folded again, and only folders that a
+    committed fold covers are removed. Call it only for batches that are complete.
     """
     old = [n for n in folders(spark, path) if int(n[1:]) <= through]
-    folded = [n for n in old if n.startswith("f")]
+    folded = [n for n in old if n.startswith("f") and _committed(spark, path, n)]
     since = int(folded[-1][1:]) if folded else -1
     fresh = [n for n in old if n.startswith("b") and int(n[1:]) > since] + folded[-1:]
     if len(fresh) < 2:
         return
     rows = spark.read.option("basePath", path).parquet(*[f"{path}/{_FOLDER}={n}" for n in fresh]).drop(_FOLDER)
-    reduce(rows).write.mode("overwrite").parquet(f"{path}/{_FOLDER}={_folded_folder(through)}")
+    target = _folded_folder(through)
+    reduce(rows).write.mode("overwrite").parquet(f"{path}/{_FOLDER}={target}")
+    if not _committed(spark, path, target):
+        raise RuntimeError(f"{path}: the fold through batch {through} has no commit marker")
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for name in set(old) - set(fresh):
+    for name in set(old) - {*fresh, target}:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_FOLDER}={name}"), True)

@@ -8,6 +8,7 @@ records are never dropped: state is ordered by arrival, whichever batch a record
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -91,7 +92,7 @@ SENSE_TABLES: dict[str, Table] = {
     "firmware_versions": Table(
         _from_messages(lambda m: firmware.version_state(firmware.sense_firmware(m))), firmware.reduce_version_state
     ),
-    "sense_hours": Table(_from_messages(lambda m: devices.active_hours(m, "received_at")), _distinct),
+    "sense_hours": Table(_from_messages(lambda m: devices.active_hours(m, "arrival_ms")), _distinct),
     "low_uptime": Table(_from_messages(metrics.low_uptime_first), metrics.reduce_low_uptime),
     "uptime_histogram": Table(_from_messages(metrics.uptime_histogram), _sum_days, additive=True),
     "bad_sensor_events": Table(_from_messages(quality.bad_sensor_events)),
@@ -134,10 +135,14 @@ def _write_positions(times: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _merge_hours(table: Table, parsed: DataFrame) -> changes.Reduce:
-    """Merge without the hours that are expired by the clock of the current batch."""
-    now = parsed.agg(F.max("arrival_ms")).first()[0]
-    if now is None:
+    """Merge without the hours that are expired when the batch arrived.
+
+    A record whose arrival lies ahead of the clock of this job moves nothing beyond that clock.
+    """
+    arrived = parsed.agg(F.max("arrival_ms")).first()[0]
+    if arrived is None:
         return table.merge
+    now = min(arrived, int(time.time() * 1000))
     return lambda rows: _unexpired(table.merge(rows), now)
 
 

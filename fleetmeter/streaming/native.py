@@ -31,7 +31,7 @@ def hourly_active(rows: DataFrame, clock_column: str) -> DataFrame:
 def low_uptime(messages: DataFrame) -> DataFrame:
     """Each (shard, hour, device) with a low uptime once, in append mode."""
     low = messages.where(F.col("uptime_seconds") <= metrics.LOW_UPTIME_SECONDS).select(
-        "shard_id", _hour("received_at").alias("hour"), "device_id"
+        "shard_id", _hour("arrival_ms").alias("hour"), "device_id"
     )
     return low.withWatermark("hour", LOW_UPTIME_DELAY).dropDuplicates(["shard_id", "hour", "device_id"])
 

@@ -1,4 +1,7 @@
+from functools import reduce
+
 from helpers import message, point, readings, rows, sense
+from pyspark.sql import DataFrame
 
 from fleetmeter.operators import devices, metrics, quality
 
@@ -53,7 +56,11 @@ def test_wifi(spark):
 
 def test_hourly_sets_and_expiry(spark):
     hour = 1_699_999_200_000  # 2023-11-14 22:00 UTC
-    messages = sense(spark, message("a", hour), message("a", hour + 3_599_999), message("a", hour + 3_600_000))
+    arrivals = (hour, hour + 3_599_999, hour + 3_600_000)
+    messages = reduce(
+        DataFrame.unionByName,
+        [sense(spark, message("a", at), arrival_ms=arrived) for at, arrived in zip((0, None, hour * 2), arrivals, strict=True)],
+    )  # the hour is that of the arrival, whatever the record says
     hourly = devices.hourly_active_sense(messages)
     expire = hour // 1000 + 48 * 3600
     assert rows(hourly) == [
@@ -69,12 +76,12 @@ def test_low_uptime_bound_is_inclusive(spark):
     hour = 1_699_999_200_000
     messages = sense(
         spark,
-        message("a", hour, uptime_in_second=3600),
-        message("a", hour + 1, uptime_in_second=0),
-        message("b", hour, uptime_in_second=3601),
-        message("c", hour),
-        message("a", hour + 3_600_000, uptime_in_second=1),
-    )
+        message("a", 0, uptime_in_second=3600),
+        message("a", 1, uptime_in_second=0),
+        message("b", uptime_in_second=3601),
+        message("c", 2 * hour),
+        arrival_ms=hour,
+    ).unionByName(sense(spark, message("a", uptime_in_second=1), arrival_ms=hour + 3_600_000))
     assert rows(metrics.low_uptime_devices(messages)) == [("s0", hour, 2), ("s0", hour + 3_600_000, 1)]
     assert rows(metrics.low_uptime_devices_approx(messages)) == [("s0", hour, 2), ("s0", hour + 3_600_000, 1)]
 

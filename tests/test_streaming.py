@@ -211,6 +211,43 @@ def test_changes_repeat_and_fold(spark, tmp_path):
     assert rows(changes.read(spark, path, reduce), "k", "v") == [("a", 3), ("b", 7), ("c", 4)]
 
 
+def test_interrupted_fold_loses_nothing(spark, tmp_path):
+    """A fold that failed, or whose driver was lost before the commit, is done again from its sources."""
+    path = str(tmp_path / "t")
+
+    def reduce(table):
+        return table.groupBy("k").agg(F.max("v").alias("v"))
+
+    def failing(table):
+        return reduce(table).where(F.raise_error(F.lit("lost")).isNull())
+
+    for batch in range(8):
+        changes.write(spark.createDataFrame([(f"d{batch}", batch)], "k string, v int"), path, batch)
+        if batch == 3:
+            with pytest.raises(Exception, match="lost"):
+                changes.fold(spark, path, 2, failing)
+            (tmp_path / "t" / f"folder=f{2:012d}" / "_temporary").mkdir(parents=True, exist_ok=True)
+        if batch in (3, 5, 7):
+            changes.fold(spark, path, batch - 1, reduce)
+        want = [(f"d{b}", b) for b in range(batch + 1)]
+        assert rows(changes.read(spark, path, reduce), "k", "v") == want
+
+
+def test_a_wrong_arrival_removes_no_live_member(spark, tmp_path):
+    import json
+    import time
+
+    now = int(time.time() * 1000)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, ahead in enumerate((0, 0, 100, 0, 0)):
+        record = [("s", str(i), now + ahead * 3_600_000, json.dumps(message(f"d{i}", now)))]
+        columns = "shard_id string, sequence_number string, arrival_ms long, payload string"
+        spark.createDataFrame(record, columns).coalesce(1).write.mode("append").parquet(source)
+    run(jobs.start_sense, spark, source, out, str(tmp_path / "cp"), only=["sense_hours"])
+    found = jobs.read_table(spark, out, "sense_hours")
+    assert [r[0] for r in rows(found.select("device_id"), "device_id")] == [f"d{i}" for i in range(5)]
+
+
 def test_native_update_mode(spark, streams, sense, tmp_path):
     """The batch operator on a stream; the last update of a device is its batch row."""
     spark.conf.set(
