@@ -44,17 +44,20 @@ def _chunked(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_chunks", F.transform("_ends", chunk)).drop("_ends")
 
 
+def _text() -> Column:
+    return F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """_row, _id, _text and _th, a hash of the text."""
-    text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
+    """_row, _id and _th, a hash of the text."""
     rows = docs.select(F.struct("*").alias("_row"))
-    rows = rows.select("_row", F.col("_row.doc_id").cast("long").alias("_id"), text.alias("_text"))
-    return rows.withColumn("_th", F.xxhash64("_text"))
+    rows = rows.select("_row", F.col("_row.doc_id").cast("long").alias("_id"), _text().alias("_text"))
+    return rows.withColumn("_th", F.xxhash64("_text")).drop("_text")
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """_id, _th and the places of the chunks that go, for the documents that lose any."""
-    rows = _chunked(_keyed(docs.select("doc_id", "text")))
+    rows = _chunked(_keyed(docs.select("doc_id", "text")).withColumn("_text", _text()))
     chunks = rows.select("_id", "_th", F.inline(F.filter("_chunks", lambda c: c["size"] > 1))).drop("size")
     chunks = chunks.withColumn("key", F.xxhash64("chunk"))
     here = F.struct(F.col("_id"), F.col("pos"))
@@ -79,7 +82,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = stored(removals(docs), "line-removals")
     lost = gone.withColumnRenamed("_id", "_lost_id").withColumnRenamed("_th", "_lost_th")
     same = F.col("_id").eqNullSafe(F.col("_lost_id")) & (F.col("_th") == F.col("_lost_th"))
-    again = _chunked(_keyed(docs).join(lost, same, "left"))
+    again = _chunked(_keyed(docs).join(lost, same, "left").withColumn("_text", _text()))  # the text moves once, in _row
     kept = F.filter("_chunks", lambda c: F.isnull("_gone") | ~F.array_contains(F.coalesce("_gone", F.array()), c["pos"]))
     again = again.withColumn("_stay", kept)
     pieces = F.transform("_stay", lambda c: c["chunk"])
@@ -96,7 +99,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 def summary(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed and the SHA-256 of the text that stays."""
     counts = [F.col(f"_{c}").alias(c) for c in ("n_lines", "n_chunks", "n_removed")]
-    out = dedup_lines(docs)
+    out = dedup_lines(docs.select("doc_id", "text"))
     return out.select(F.col("_row.doc_id").cast("long").alias("doc_id"), *counts, F.sha2("_kept", 256).alias("kept_sha256"))
 
 
