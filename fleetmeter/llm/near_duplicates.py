@@ -6,12 +6,15 @@ level inside the shell, and counts where the level is below the document's weigh
 makes up the signature, so two signatures agree in a register with the probability of their weighted Jaccard similarity.
 A process stops once its time is beyond all registers, so a document costs little more than one point per shingle.
 
-Texts with the same words are one node, however many there are. Nodes that share a band of registers meet. They aren't
-paired with each other but with the band's hub, the node with the largest bands overall; a copied original is the hub
-of its copies. The pairs are verified on the whole bags, and links of a similarity of 0.8 or more join nodes to classes.
+Texts with the same words are one node, however many there are. Nodes that share a band of registers meet, unless they
+are in one class by then. First all are paired with the band's hub, the node with the largest bands overall; a copied
+original is the hub of its copies. The pairs are verified on the whole bags, and links of a similarity of 0.8 or more
+join nodes to classes. Then come rounds: a band whose nodes are in several classes takes further hubs outside the
+largest of them, four times as many in each round, and they meet all nodes of other classes. A node that was a hub has
+met all it had to and leaves the band. It ends when no band holds nodes of two classes.
 
 Two nodes of similarity 0.8 share any one band with probability 0.41, and 32 bands make it 1 - 5e-8 that they share one.
-A link is only missed where every band that the two share has a hub that is unlike one of them.
+Nodes that share a band are in one class or have been compared.
 
 Texts without words are copies of each other; texts of under five words have one shingle, all their words. A null text
 is empty. A class is named by its smallest id (null if it has none but null). Rows that repeat are in one class. An
@@ -152,23 +155,36 @@ def _texts(docs: DataFrame) -> DataFrame:
     return arrow_map(texts_of(docs), "node binary, words binary", make)
 
 
-def hub_pairs(bands: DataFrame) -> DataFrame:
-    """node and hub, distinct, of rows (band, node)."""
+def band_members(bands: DataFrame) -> DataFrame:
+    """band, node and weight (the size of all bands of the node) where nodes share a band, of rows (band, node)."""
     shared = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(bands.join(shared, "band"), "near-members")
+    members = stored(bands.join(shared, "band"), "near-shared")
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = members.drop("size").join(weight, "node")
-    hubs = members.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    pairs = members.join(hubs.select("band", F.col("hub.node").alias("hub")), "band")
-    return pairs.where("node <> hub").select("node", "hub").distinct()
-
-
-def verified(pairs: DataFrame, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The pairs whose bags are similar enough."""
-    pairs = stored(pairs, "near-pairs")
-    ends = pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct()
-    texts = _texts(docs).join(ends, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
-    texts = stored(texts, "near-texts")
+    return stored(members.drop("size").join(weight, "node"), "near-members")
+
+
+def hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """node and hub, distinct, and the hubs as rows (band, node)."""
+    hubs = members.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", F.col("hub.node").alias("hub"))
+    pairs = members.join(hubs, "band").where("node <> hub").select("node", "hub").distinct()
+    return pairs, hubs.withColumnRenamed("hub", "node")
+
+
+def further_pairs(members: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
+    """The same of rows (band, node, weight, root), for about `many` hubs a band and nodes of other roots."""
+    classes = members.groupBy("band", "root").agg(F.count("*").alias("size"))
+    largest = classes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("largest")).select("band", F.col("largest.root").alias("largest"))
+    spare = members.join(largest, "band").where("root <> largest")
+    slot = F.pmod(F.xxhash64("node"), F.lit(many)).alias("slot")
+    hubs = spare.groupBy("band", slot).agg(F.max(F.struct("weight", "node", "root")).alias("hub"))
+    hubs = stored(hubs.select("band", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")), "near-hubs")
+    pairs = members.join(hubs, "band").where("root <> hub_root")
+    pairs = pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
+    return pairs, hubs.select("band", F.col("hub").alias("node"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """The pairs whose bags are similar enough, of texts by node."""
     both = pairs.join(texts.withColumnRenamed("words", "own"), "node")
     both = both.join(texts.select(F.col("node").alias("hub"), F.col("words").alias("other")), "hub")
 
@@ -214,12 +230,36 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         before = state
 
 
+def connected(bands: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and root of every node that has a link, of rows (band, node)."""
+    members = band_members(bands)
+    texts = _texts(docs).join(members.select("node").distinct(), "node", "left_semi")
+    texts = stored(texts.groupBy("node").agg(F.first("words").alias("words")), "near-texts")
+    pairs, hubs = hub_pairs(members)
+    met = pairs = stored(pairs, "near-pairs")
+    met = met.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub"))
+    root = components(verified(pairs, texts), "node", "hub")
+    many = 1
+    while True:
+        members = members.join(hubs, ["band", "node"], "left_anti").drop("root").join(root, "node", "left")
+        members = members.withColumn("root", F.coalesce("root", "node"))
+        mixed = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+        members = stored(members.join(mixed.select("band"), "band"), "near-members")
+        if members.isEmpty():
+            return root
+        pairs, hubs = further_pairs(members, many)
+        pairs = stored(pairs.join(met, ["node", "hub"], "left_anti"), "near-pairs")
+        links = stored(verified(pairs, texts), "near-verified")
+        if not links.isEmpty():
+            root = components(links.union(root.select("node", "root")), "node", "hub")
+        met, many = met.union(pairs), many * 4
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id and class_id of every row."""
     nodes = stored(_nodes(docs), "near-nodes")
     bands = nodes.where(F.size("bands") > 0).groupBy("node").agg(F.first("bands").alias("bands"))
-    links = verified(hub_pairs(bands.select("node", F.explode("bands").alias("band"))), docs)
-    root = components(links, "node", "hub")
+    root = connected(bands.select("node", F.explode("bands").alias("band")), docs)
     rooted = nodes.select("doc_id", "node").join(root, "node", "left")
     rooted = rooted.select("doc_id", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))

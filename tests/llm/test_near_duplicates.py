@@ -88,3 +88,34 @@ def test_components(spark):
     got = {r.node[0] * 256 + r.node[1]: r.root[0] * 256 + r.root[1] for r in nd.components(frame, "a", "b").collect()}
     assert all(got.get(i, i) == root[i] for link in links for i in link)
     assert np.unique(list(got.values())).size <= len(got)
+
+
+def test_links_that_no_first_hub_sees(spark):
+    """Pairs of families whose centres are unlike, joined by one link each, and a chain without a centre."""
+    rows, places = [], list(range(5, 395, 10))
+    for seed in (0, 3, 7):
+        rng = random.Random(seed)
+        one = [f"p{seed}.{k}" for k in range(400)]
+        two, near_one = list(one), list(one)
+        for k, at in enumerate(places[:24]):
+            two[at] = f"q{seed}.{k}"
+        near_two = list(two)
+        for at in places[:8]:
+            near_one[at] = two[at]
+        for at in places[16:24]:
+            near_two[at] = one[at]
+        for centre in (one, two):
+            rows.append((len(rows), " ".join(centre)))
+            for _ in range(20):
+                copy = list(centre)
+                copy[rng.choice(places) + 4] = f"e{rng.randrange(10**9)}"
+                rows.append((len(rows), " ".join(copy)))
+        rows += [(len(rows) + k, " ".join(x)) for k, x in enumerate((near_one, near_two))]
+    link = [f"c{k}" for k in range(150)]
+    for step in range(20):
+        link[step * 7 % 150] = link[step * 7 % 150 + 1] = f"c.{step}"
+        rows.append((len(rows), " ".join(link)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert len({c for _, c in want}) == 4
+    assert sorted(((r.doc_id, r.class_id) for r in nd.classes(docs).collect()), key=str) == want
