@@ -122,10 +122,15 @@ class Model:
 
     # chunks: `text` holds the chunk's `size` characters and, after them, as many as a piece may reach beyond
 
-    def transfer(self, text: str, size: int) -> np.ndarray:
-        """Best scores from a first piece at each of `longest` places to an end at each of as many beyond the chunk."""
+    def transfer(self, text: str, size: int, before: str = "") -> np.ndarray:
+        """Best scores from a first piece at each of `longest` places to an end at each of as many beyond the chunk.
+
+        `before` is the character before the chunk, if there is one.
+        """
         out = np.full((self.longest, self.longest), -np.inf)
         walls = [m.start() for m in _PART.finditer(text, 0, size)]
+        if before == SIGN and walls and walls[0] == 0:  # inside a run of signs, which pieces may reach over
+            walls = walls[1:]
         if not walls or walls[-1] - walls[0] < self.longest:
             for e in range(min(self.longest, size)):
                 self._leave(text, size, e, out[e])
@@ -227,12 +232,12 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         def work(batch: pa.RecordBatch):
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = marked(text)
-                out: list[list] = [[], [], [], []]
+                out: list[list] = [[], [], [], [], []]
                 for k, at in enumerate(range(0, len(text), chunk)):
                     part = text[at : at + chunk + model.longest - 1]
-                    for column, value in zip(out, (uid, k, part, min(chunk, len(text) - at)), strict=True):
+                    for column, value in zip(out, (uid, k, text[max(0, at - 1) : at], part, min(chunk, len(text) - at)), strict=True):
                         column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["uid", "k", "part", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["uid", "k", "before", "part", "size"])
 
         return work
 
@@ -241,7 +246,8 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             parts, sizes = batch.column("part").to_pylist(), batch.column("size").to_pylist()
-            matrices = [model.transfer(p, n).tobytes() for p, n in zip(parts, sizes, strict=True)]
+            before = batch.column("before").to_pylist()
+            matrices = [model.transfer(p, n, b).tobytes() for p, n, b in zip(parts, sizes, before, strict=True)]
             return pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), pa.array(matrices, pa.binary())], ["uid", "k", "matrix"])
 
         return work
@@ -271,7 +277,7 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
 
         return work
 
-    chunks = arrow_map(rows.select("uid", "text"), "uid string, k long, part string, size long", cut)
+    chunks = arrow_map(rows.select("uid", "text"), "uid string, k long, before string, part string, size long", cut)
     chunks = stored(chunks.repartition("uid", "k"), "pieces-chunks")
     matrices = arrow_map(chunks, "uid string, k long, matrix binary", weigh)
     border = matrices.groupBy("uid").applyInPandas(combine, "uid string, k long, first long, last long, total double")

@@ -57,3 +57,16 @@ def test_products_are_associative():
     assert (sp.product(sp.product(a, b), c) == sp.product(a, sp.product(b, c))).all()
     total, border = sp.states([a, b, c])
     assert total == sp.product(sp.product(a, b), c)[0, 0] == a[0, border[1]] + b[border[1], border[2]] + c[border[2], 0]
+
+
+def test_runs_of_blanks_over_a_border(spark):
+    rng, model, chunk = random.Random(5), sp.Model(PATH), 96
+    rows = []
+    for run in range(3, 21):
+        for off in range(run + 1):
+            head = (text(rng, 40) + " the")[-(chunk - 1 - off) :].strip().rjust(chunk - 1 - off, "x")
+            rows.append((len(rows), head + " " * run + "the end of " + text(rng, 30)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in sp.encoded(docs, PATH, ids=True, chunk=chunk).collect()}
+    wrong = [i for i, t in rows if (got[i].score, got[i].n_pieces) != (model.encode(t)[0], len(model.encode(t)[1]) // 4)]
+    assert not wrong and all(r.decoded for r in got.values())
