@@ -2,8 +2,10 @@
 
 Both steps are votes of one-versus-one linear support vector machines over hashed byte trigrams of the lower-cased
 text, in which everything but letters is a blank. A trigram adds its weight wherever it stands, so a text of any length
-costs one pass over its bytes. The machines are fitted on a bounded sample of labelled documents (`SAMPLE`, dealt evenly
-over the languages, those with the smallest hashed ids); every document is predicted from its whole text.
+costs one pass over its bytes. The machines are fitted on a sample of labelled documents of every language (`SAMPLE`,
+dealt evenly over the languages, those with the smallest hashed ids; beyond `LANGUAGES` it grows with their number).
+Where there are more families than that, languages of no fixed family are put with those most alike. Every document is
+predicted from its whole text.
 
 A text that is null, or holds no letter, is `und` with score 0. An empty table, or one without labels, is predicted
 `und`. Rows that repeat are predicted alike.
@@ -21,9 +23,9 @@ from pyspark.sql import functions as F
 
 from fleetmeter.llm.common import PASS_BYTES, arrow_map, byte_table, slices
 
-#: Documents that the machines are fitted on, at most.
+#: Documents that the machines are fitted on, at most, for up to `LANGUAGES` languages.
 SAMPLE = 2000
-#: Languages that are told apart, the most frequent ones.
+#: Languages that share one sample, and families that are told apart one by one.
 LANGUAGES = 64
 BITS = 12
 #: Families of languages by code; any other code is a family of its own.
@@ -127,19 +129,37 @@ class Machines:
         return best, min(won, default=30.0)
 
 
+def _families(x: np.ndarray, lang: np.ndarray) -> dict[str, str]:
+    """The family of each language of the rows."""
+    out = {code: FAMILY_OF.get(code, code) for code in sorted(set(lang))}
+    alone = [code for code in out if code not in FAMILY_OF]
+    if len(set(out.values())) <= LANGUAGES:
+        return out
+    middle = np.array([x[lang == code].mean(0) for code in alone])
+    middle /= np.linalg.norm(middle, axis=1, keepdims=True) + 1e-9
+    left, size = list(range(len(alone))), int(np.ceil(np.sqrt(len(alone))))
+    while left:
+        near = sorted(left, key=lambda k: (k != left[0], -float(middle[k] @ middle[left[0]]), k))[:size]
+        out.update((alone[k], f"like {alone[near[0]]}") for k in near)
+        left = [k for k in left if k not in near]
+    return out
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Machines:
     """Machines from rows of doc_id, text and lang (not null)."""
-    keyed = labelled.select(F.xxhash64(F.col("doc_id").cast("string")).alias("spot"), "text", "lang")
-    names = [r["lang"] for r in keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    if not names:
+    spot = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64(F.col("doc_id").cast("string")))
+    keyed = labelled.select(spot.alias("spot"), "text", "lang")
+    many = keyed.select("lang").distinct().count()
+    if not many:
         return Machines([], {}, [], np.zeros((0, 1)))
-    each = max(1, sample // len(names))
+    each = max(1, sample // min(many, LANGUAGES))
     spots = keyed.select("lang", "spot", F.pmod("spot", F.lit(16)).alias("salt"))
     for by in (["lang", "salt"], ["lang"]):  # a frequent language is thinned in shares first
         rank = F.row_number().over(Window.partitionBy(*by).orderBy("spot"))
         spots = spots.withColumn("rank", rank).where(F.col("rank") <= each)
-    bounded = spots.where(F.col("lang").isin(names)).select("lang", "spot").distinct()
-    picked = keyed.join(F.broadcast(bounded), ["lang", "spot"]).select("lang", "text")
+    bounded = spots.select("lang", "spot").distinct()
+    picked = keyed.join(F.broadcast(bounded), ["lang", "spot"]).groupBy("lang", "spot").agg(F.min("text").alias("text"))
+    picked = picked.select("lang", "text")
 
     def make():
         def work(batch: pa.RecordBatch):
@@ -150,11 +170,12 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Machines:
 
         return work
 
-    rows = arrow_map(picked, "lang string, x binary", make).limit(2 * sample).collect()
+    rows = arrow_map(picked, "lang string, x binary", make).collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(len(rows), -1)
     lang = np.array([r["lang"] for r in rows])
-    family = np.array([FAMILY_OF.get(code, code) for code in lang])
+    family_of = _families(x, lang)
+    family = np.array([family_of[code] for code in lang])
     members = {f: sorted(set(lang[family == f])) for f in sorted(set(family))}
     pairs, weights = [], []
     for label, names in ((family, list(members)), *((lang, m) for m in members.values())):

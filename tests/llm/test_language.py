@@ -1,3 +1,5 @@
+import random
+
 from fleetmeter.llm import language
 from fleetmeter.llm.queries import QUERIES
 
@@ -26,3 +28,15 @@ def test_odd_texts(spark):
     assert language.identify(docs.limit(0)).count() == 0
     unlabelled = docs.withColumn("lang", language.F.lit(None).cast("string"))
     assert {r.lang_pred for r in language.identify(unlabelled).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    rng, rows = random.Random(3), []
+    for k in range(72):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)]
+        for _ in range(12 if k < 64 else 9):
+            rows.append((len(rows), " ".join(rng.choice(words) for _ in range(60)), f"x{k:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}
+    assert sum(out[i] == lang for i, _, lang in rows) > 0.97 * len(rows)
+    assert set(out.values()) == {lang for _, _, lang in rows}
