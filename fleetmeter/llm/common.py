@@ -142,3 +142,18 @@ def byte_table(*marked: int | range) -> np.ndarray:
     for m in marked:
         table[m] = True
     return table
+
+
+def finite_vectors(vectors: DataFrame, key: str, vector: str, *keep: str) -> DataFrame:
+    """id, the `keep` columns and x (doubles) of the rows whose vector is not null and holds finite components alone."""
+    rows = vectors.select(
+        F.col(key).cast("long").alias("id"), *(F.col(k).alias(k) for k in keep), F.col(vector).cast("array<double>").alias("x")
+    )
+    bad = F.exists("x", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return rows.where(F.col("x").isNotNull()).where(~bad)
+
+
+def list_matrix(column: pa.Array, kind: type) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)

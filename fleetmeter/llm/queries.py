@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import language, line_dedup, near_duplicates, packing, quality, recompression, sentence_pieces, suffix_dedup, suffix_tree, topk
+from fleetmeter.llm import (
+    language,
+    line_dedup,
+    multiprobe,
+    near_duplicates,
+    packing,
+    prefix_trie,
+    quality,
+    recompression,
+    sentence_pieces,
+    sql,
+    suffix_dedup,
+    suffix_tree,
+    topk,
+    walsh_codes,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +70,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_copies(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.rebuilt(prefix_trie.numbered(_table(spark, sf_dir, "conversations"))))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walsh_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -66,6 +93,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_near_vectors": op13_near_vectors,
 }
 
 _QUALITY = """
@@ -138,4 +168,10 @@ SELECT r.doc_id, CASE WHEN any_value(coalesce(d.text, '')) = '' THEN 0 ELSE sum(
 FROM r JOIN documents d USING (doc_id) GROUP BY r.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_line_dedup": _LINES, "op5_quality_rules": _QUALITY, "op9_exact_top_k": _TOP_K}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": _LINES,
+    "op5_quality_rules": _QUALITY,
+    "op9_exact_top_k": _TOP_K,
+    "op11_prefix_trie": sql.TRIE,
+    "op12_vector_codes": sql.codes(),
+}

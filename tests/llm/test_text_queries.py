@@ -30,3 +30,17 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_names(name):
     assert name.startswith("op")
+
+
+def test_near_vectors_reach_the_recall(spark):
+    """At least nine in ten of the true neighbours of every 20th row of the table; ranks without gaps."""
+    got = QUERIES["op13_near_vectors"](spark, SF_DIR).collect()
+    con = duckdb.connect()
+    want = con.sql(f"""
+      WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM '{SF_DIR}/embeddings.parquet')
+      SELECT q.vec_id, c.vec_id FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+      QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.x, c.x) DESC, c.vec_id) <= 20""").fetchall()
+    have = {(r["query_id"], r["vec_id"]) for r in got}
+    assert len(have) == len(got) == len(want)
+    assert sum(w in have for w in want) >= 0.9 * len(want)
+    assert {r["rank"] for r in got} == set(range(1, 21))
