@@ -9,7 +9,8 @@ the chances add up to what the table owes to the `found` share over all tables:
 probes, vectors without any structure need most buckets. Nothing else limits probes or candidates.
 
 Buckets are dealt to shares of about SHARE vectors; what a share holds beyond that is cut into blocks, and queries beyond
-ASKED into parts, so no task gets an unbounded group. A share sends each query's best k, scored exactly, and these merge.
+ASKED into parts, so no task gets an unbounded group. A cell sends one row a query with its best k, scored exactly; these
+merge in two steps, so no group of a query is long.
 Of equal vectors only the k + 1 smallest ids can be in a result; more are not hashed. A query that found less than k is
 answered from all buckets.
 
@@ -39,6 +40,8 @@ FOUND = 0.95
 SAMPLE = 2048
 #: Vectors in a share, queries that meet them at a time.
 SHARE, ASKED = 4096, 16384
+#: Queries whose probes one task works out; groups in which a query's results first merge.
+PROBED, MERGES = 512, 32
 #: Bits that one slot adds to a bucket's name, at WIDTH.
 _BITS = 1.2
 
@@ -143,7 +146,7 @@ def _solver(k: int):
     """Of the vectors and queries of a cell, each query's k best in the buckets that it visits (null: all of them)."""
 
     def work(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "row": [], "id": [], "score": []})
+        empty = pd.DataFrame({"query_id": [], "row": [], "ids": [], "scores": []})
         if not len(own) or not len(asked):
             return empty
         own = own.sort_values(["bucket", "id"])
@@ -192,8 +195,13 @@ def _solver(k: int):
             r, c = r[stay], c[stay]
             exact = scores(q[r], x[c])
             best = _best(r, exact, ids[c], k)
-            r, c = r[best], c[best]
-            out.append(pd.DataFrame({"query_id": query_id[r], "row": some["row"].to_numpy()[r], "id": ids[c], "score": exact[best]}))
+            if not len(best):
+                continue
+            r, c, exact = r[best], c[best], exact[best]
+            cut = np.flatnonzero(np.diff(r, prepend=-1))
+            sent = {"query_id": query_id[r[cut]], "row": some["row"].to_numpy()[r[cut]]}
+            sent |= {"ids": np.split(ids[c], cut[1:]), "scores": np.split(exact, cut[1:])}
+            out.append(pd.DataFrame(sent))
         return pd.concat(out) if out else empty
 
     return work
@@ -251,7 +259,7 @@ def _asked(queries: DataFrame, tables: Tables, k: int, found: float, everywhere:
 
 
 def _met(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """query_id, row, id and score of each query's best in each cell of vectors and queries."""
+    """query_id, row, ids and scores of each query's best in each cell of vectors and queries."""
     blocks = placed.groupBy("share").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("blocks"))
     parts = asked.groupBy("share").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("parts"))
     grid = stored(blocks.join(parts, "share"), "probe-grid")
@@ -261,13 +269,20 @@ def _met(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     rows = asked.join(grid, "share").withColumn("part", one("parts", "query_id", "row")).withColumn("block", every("blocks"))
     by = ["share", "block", "part"]
     data, rows = data.select(*by, "bucket", "id", "x"), rows.select(*by, "query_id", "row", "q", "buckets")
-    schema = "query_id long, row long, id long, score double"
+    schema = "query_id long, row long, ids array<long>, scores array<double>"
     return data.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(lambda own, some: _solver(k)(own, some), schema)
 
 
-def _ranked(met: DataFrame, k: int) -> DataFrame:
-    best = F.row_number().over(Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "id"))
-    return met.dropDuplicates(["query_id", "row", "id", "score"]).withColumn("rank", best).where(F.col("rank") <= k)
+def _merged(met: DataFrame, k: int) -> DataFrame:
+    """query_id, row and best: (-score, id) of the k best of all cells, each once, in order."""
+    pairs = F.arrays_zip("scores", "ids")
+    best = F.transform(pairs, lambda x: F.struct((-x["scores"]).alias("far"), x["ids"].alias("id")))
+    group = F.pmod(F.xxhash64("ids"), F.lit(MERGES))
+    rows = met.select("query_id", "row", group.alias("group"), best.alias("best"))
+    for by in (["query_id", "row", "group"], ["query_id", "row"]):
+        whole = F.sort_array(F.array_distinct(F.flatten(F.collect_list("best"))))
+        rows = rows.groupBy(*by).agg(F.slice(whole, 1, k).alias("best"))
+    return rows
 
 
 def _search(rows: DataFrame, is_query: Column, k: int, dims: int, found: float, tables: int) -> DataFrame:
@@ -283,16 +298,17 @@ def _search(rows: DataFrame, is_query: Column, k: int, dims: int, found: float,
     placed = stored(_placed(kept, model), "probe-buckets")
     queries = rows.where(is_query).dropDuplicates(["id", "x"]).withColumn("row", F.xxhash64("x"))
     queries = stored(queries.select("id", "row", "x"), "probe-queries")
-    asked = stored(_asked(queries, model, k, found), "probe-visits")
-    met = stored(_ranked(_met(placed, asked, k), k), "probe-found")
-    counts = met.groupBy("query_id", "row").agg(F.count("*").alias("have"))
-    few = queries.join(counts.withColumnRenamed("query_id", "id"), ["id", "row"], "left")
-    few = few.where(F.coalesce("have", F.lit(0)) < k).select("id", "row", "x")
-    few = stored(few, "probe-short")
+    spread = queries.repartition(max(1, -(-queries.count() // PROBED)), "id", "row")
+    asked = stored(_asked(spread, model, k, found), "probe-visits")
+    met = stored(_merged(_met(placed, asked, k), k), "probe-found")
+    counts = met.select(F.col("query_id").alias("id"), "row", F.size("best").alias("have"))
+    few = queries.join(counts, ["id", "row"], "left").where(F.coalesce("have", F.lit(0)) < k)
+    few = stored(few.select("id", "row", "x"), "probe-short")
     if not few.isEmpty():
-        again = _ranked(_met(placed, _asked(few, model, k, found, everywhere=True), k), k)
+        again = _merged(_met(placed, _asked(few, model, k, found, everywhere=True), k), k)
         met = met.join(few.select(F.col("id").alias("query_id"), "row"), ["query_id", "row"], "left_anti").unionByName(again)
-    return met.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+    ranked = met.select("query_id", F.posexplode("best").alias("place", "one"))
+    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("one.id").alias("id"), (F.lit(0.0) - F.col("one.far")).alias("score"))
 
 
 def search(
