@@ -146,7 +146,7 @@ def _solver(k: int):
     """Of the vectors and queries of a cell, each query's k best in the buckets that it visits (null: all of them)."""
 
     def work(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "row": [], "ids": [], "scores": []})
+        empty = pd.DataFrame({"query_id": [], "row": [], "ids": [], "scores": []}, dtype=object)
         if not len(own) or not len(asked):
             return empty
         own = own.sort_values(["bucket", "id"])
