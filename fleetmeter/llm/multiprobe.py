@@ -35,7 +35,7 @@ from fleetmeter.llm.common import finite_vectors, list_matrix, mix, stored
 #: Hash tables, vectors in an average bucket, and the width of a slot in standard deviations of a projection.
 TABLES, BUCKET, WIDTH = 2, 48, 2.0
 #: Share of the k-th neighbours that the probes are to reach.
-FOUND = 0.95
+FOUND = 0.97
 #: Vectors of the sample from which a query's neighbours are estimated; the only thing that is not read from all rows.
 SAMPLE = 2048
 #: Vectors in a share, queries that meet them at a time.
