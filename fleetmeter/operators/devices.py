@@ -78,6 +78,47 @@ def hourly_active_pill(readings: DataFrame) -> DataFrame:
     return with_hour_key(active_hours(readings, "arrival_ms"))
 
 
+# -- the hourly sets of a device as a ring of bits ----------------------------------------------
+
+# Fixed value: an hourly set outlives its hour's start by as many hours.
+RING_HOURS = clock.HOURLY_SET_TTL_SECONDS // 3600
+
+
+def hour_rings(rows: DataFrame, clock_column: str) -> DataFrame:
+    """device_id, top_hour (hours since the epoch) and hours, whose bit i says "active in hour top_hour - i"."""
+    hour = F.call_function("div", F.col(clock_column), F.lit(clock.HOUR_MS))
+    return merge_rings(rows.select("device_id", hour.alias("top_hour"), F.lit(1).cast("long").alias("hours")))
+
+
+def merge_rings(rings: DataFrame) -> DataFrame:
+    """Rings of the same top hour in one; associative and idempotent."""
+    return rings.groupBy("device_id", "top_hour").agg(F.bit_or("hours").alias("hours"))
+
+
+def turn_rings(rings: DataFrame, hour: int) -> DataFrame:
+    """All rings as of ``hour``: bits move up by the hours that have passed and fall out after ``RING_HOURS``.
+
+    One row per device; a device that is ahead of ``hour`` keeps those rings apart.
+    """
+    age = F.greatest(F.lit(hour) - F.col("top_hour"), F.lit(0))
+    shifted = F.call_function("shiftleft", "hours", F.least(age, F.lit(RING_HOURS)).cast("int"))
+    top = F.greatest("top_hour", F.lit(hour).cast("long"))
+    turned = rings.select("device_id", top.alias("top_hour"), shifted.bitwiseAND((1 << RING_HOURS) - 1).alias("hours"))
+    return merge_rings(turned.where(F.col("hours") != 0))
+
+
+def ring_hours(rings: DataFrame, as_of_ms: int) -> DataFrame:
+    """The live members at ``as_of_ms`` as (hour_start, device_id)."""
+    last = as_of_ms // clock.HOUR_MS
+    set_bits = F.filter(
+        F.sequence(F.lit(0), F.lit(RING_HOURS - 1)),
+        lambda i: F.call_function("shiftright", F.col("hours"), i).bitwiseAND(1) == 1,
+    )
+    bits = turn_rings(rings, last).select("device_id", "top_hour", F.explode(set_bits).alias("age"))
+    hours = bits.select("device_id", (F.col("top_hour") - F.col("age")).alias("hour"))
+    return hours.where(F.col("hour") > last - RING_HOURS).select((F.col("hour") * clock.HOUR_MS).alias("hour_start"), "device_id")
+
+
 def live(hourly: DataFrame, as_of_seconds: Column | int) -> DataFrame:
     """Hourly sets that have not expired at ``as_of_seconds``; also the purge rule of the store."""
     as_of = as_of_seconds if isinstance(as_of_seconds, Column) else F.lit(as_of_seconds)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetmeter.functions import wifi
 from fleetmeter.operators import firmware
+from fleetmeter.operators.latest import reduce_latest
 
 
 def entries(table: DataFrame, key: Column | str, field: Column | str, value: Column) -> DataFrame:
@@ -48,9 +49,9 @@ def sense_export(sense_state: DataFrame, version_state: DataFrame) -> DataFrame:
         version_state, F.concat("part", F.lit(":"), "version"), "device_id", F.col("timestamp")
     )
     seen_key = F.when(F.col("part") == "middle", "firmwares_seen").otherwise("top_firmwares_seen")
-    seen = version_state.groupBy("part", "version").agg(F.max("newest").alias("newest"))
+    seen = reduce_latest(version_state, ["part", "version"], ["timestamp"])
     return (
         device.unionByName(members)
-        .unionByName(entries(seen, seen_key, "version", F.col("newest")))
+        .unionByName(entries(seen, seen_key, "version", F.col("timestamp")))
         .unionByName(device_hash(firmware.device_firmware_view(version_state)))
     )

@@ -98,7 +98,9 @@ def _known(firmware: DataFrame, part: str) -> DataFrame:
 
 
 def _seen(firmware: DataFrame, part: str) -> DataFrame:
-    return _known(firmware, part).groupBy("version").agg(F.max("timestamp").alias("timestamp"))
+    """Per version the timestamp written last, whichever device it came from."""
+    rows = _known(firmware, part).select("version", arrival().alias("arrival"), "timestamp")
+    return reduce_latest(rows, ["version"], ["timestamp"]).drop("arrival")
 
 
 def firmwares_seen(firmware: DataFrame) -> DataFrame:
@@ -129,7 +131,7 @@ STATE_KEYS = ["part", "version", "device_id"]
 
 
 def version_state(firmware: DataFrame) -> DataFrame:
-    """Per (part, version, device): last arrival, its timestamp, and the newest timestamp.
+    """Per (part, version, device): last arrival and its timestamp.
 
     One row per version a device ever ran. Every firmware table is a view of this one, so a job
     that needs several of them reads the messages once.
@@ -138,19 +140,12 @@ def version_state(firmware: DataFrame) -> DataFrame:
         F.struct(F.lit("middle").alias("part"), F.col("middle_version").alias("version")),
         F.struct(F.lit("top").alias("part"), F.col("top_version").alias("version")),
     )
-    rows = firmware.select(
-        "device_id", arrival().alias("arrival"), "timestamp", F.col("timestamp").alias("newest"), F.inline(parts)
-    ).where(F.col("version") != UNKNOWN)
-    return reduce_version_state(rows)
+    rows = firmware.select("device_id", arrival().alias("arrival"), "timestamp", F.inline(parts))
+    return reduce_version_state(rows.where(F.col("version") != UNKNOWN))
 
 
 def reduce_version_state(rows: DataFrame) -> DataFrame:
-    """Associative and idempotent, like ``reduce_latest``."""
-    return (
-        rows.groupBy(*STATE_KEYS)
-        .agg(F.max(F.struct("arrival", "timestamp")).alias("last"), F.max("newest").alias("newest"))
-        .select(*STATE_KEYS, "last.*", "newest")
-    )
+    return reduce_latest(rows, STATE_KEYS, ["timestamp"])
 
 
 def device_firmware_view(state: DataFrame) -> DataFrame:
@@ -173,7 +168,7 @@ def device_firmware_view(state: DataFrame) -> DataFrame:
 
 
 def seen_view(state: DataFrame, part: str) -> DataFrame:
-    return state.where(F.col("part") == part).groupBy("version").agg(F.max("newest").alias("timestamp"))
+    return reduce_latest(state.where(F.col("part") == part), ["version"], ["timestamp"]).drop("arrival")
 
 
 def devices_view(state: DataFrame, part: str) -> DataFrame:

@@ -12,6 +12,9 @@ reductions run before the fold, both spread over all executors:
 
 What is left of a shard is bounded by the seconds of event time it spans, not by its traffic. The
 fold streams it in Arrow batches and keeps one number per shard.
+
+Both reductions are associative and idempotent, so what is left of a shard, its *staircase* (times that rise
+with their arrival), is also the state of a stream: staircases of batches merge in any order, and the fold runs on read.
 """
 
 from __future__ import annotations
@@ -50,12 +53,15 @@ def pill_times(readings: DataFrame) -> DataFrame:
 
 def candidates(times: DataFrame) -> DataFrame:
     """Readings that can be kept: (shard_id, ts, arrival)."""
-    first = (
-        times.where(F.col("ts") < F.col("clock_ms") + MAX_AHEAD_MS)
-        .where(F.col("ts") > TRACK_PERIOD_MS)
-        .groupBy("shard_id", "ts")
-        .agg(F.min(arrival("position")).alias("arrival"))
-    )
+    near = times.where(F.col("ts") < F.col("clock_ms") + MAX_AHEAD_MS).where(F.col("ts") > TRACK_PERIOD_MS)
+    return reduce_candidates(near.select("shard_id", "ts", arrival("position").alias("arrival")))
+
+
+def reduce_candidates(rows: DataFrame) -> DataFrame:
+    """Associative and idempotent. A reading that an earlier arrival of a later time rules out stays ruled out: that
+    arrival is in the state, or another that rules out both.
+    """
+    first = rows.groupBy("shard_id", "ts").agg(F.min("arrival").alias("arrival"))
     day = F.call_function("div", F.col("ts"), F.lit(clock.DAY_MS))
     later = (
         Window.partitionBy("shard_id", day)
@@ -80,12 +86,11 @@ def _thinner(period_ms: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             shards = batch.column("shard_id").to_numpy(zero_copy_only=False)
             times = batch.column("ts").to_numpy(zero_copy_only=False)
-            seeds = batch.column("last_kept").to_numpy(zero_copy_only=False)
             bounds = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1], True]) if len(times) else []
             kept: list[int] = []
             for start, end in zip(bounds[:-1], bounds[1:], strict=True):
                 if shards[start] != shard:
-                    shard, last = shards[start], int(seeds[start])
+                    shard, last = shards[start], 0
                 # The next kept reading is where the running maximum first passes last + period.
                 highest = np.maximum.accumulate(times[start:end])
                 at = int(np.searchsorted(highest, last + period_ms, side="right"))
@@ -99,25 +104,19 @@ def _thinner(period_ms: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return thin
 
 
-def kept_positions(times: DataFrame, last_kept: DataFrame | None = None) -> DataFrame:
-    """Kept readings as (shard_id, ts, sequence_number).
-
-    ``last_kept`` (shard_id, last_kept) carries the fold over from earlier stream batches; it has
-    one row per shard.
-    """
-    rows = candidates(times)
-    if last_kept is None:
-        rows = rows.withColumn("last_kept", F.lit(0).cast("long"))
-    else:
-        rows = rows.join(last_kept.select("shard_id", "last_kept"), "shard_id", "left").withColumn(
-            "last_kept", F.coalesce("last_kept", F.lit(0).cast("long"))
-        )
-    ordered = rows.repartition("shard_id").sortWithinPartitions("shard_id", "arrival")
-    return ordered.select("shard_id", "ts", F.col("arrival.number").alias("sequence_number"), "last_kept").mapInArrow(
+def thinned(staircase: DataFrame) -> DataFrame:
+    """Kept readings of reduced candidates as (shard_id, ts, sequence_number)."""
+    ordered = staircase.repartition("shard_id").sortWithinPartitions("shard_id", "arrival")
+    return ordered.select("shard_id", "ts", F.col("arrival.number").alias("sequence_number")).mapInArrow(
         _thinner(TRACK_PERIOD_MS), _KEPT
     )
 
 
+def kept_positions(times: DataFrame) -> DataFrame:
+    """Kept readings as (shard_id, ts, sequence_number)."""
+    return thinned(candidates(times))
+
+
 def checkpoint_track(kept: DataFrame, stream: str) -> DataFrame:
     """Rows of the position index: (stream:shard, event time text) -> sequence number."""
     return kept.select(

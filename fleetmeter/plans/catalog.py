@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 from fleetmeter import schemas
 from fleetmeter.functions.clock import MINUTE_MS
 from fleetmeter.operators import devices, export, firmware, metrics, positions, quality
-from fleetmeter.plans.streams import STREAMS
+from fleetmeter.plans.streams import PILL_STREAM, SENSE_STREAM, STREAMS
 from fleetmeter.sources import decode, derived
 from fleetmeter.sources.tables import decode_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SENSE_STREAM = "sense_sensors_data"
-PILL_STREAM = "batch_pill_data"
-
 # The include list of the registered report.
 REPORT_INCLUDE = ("messages-processed", "wave", "^sense\\.low-", "uptime-days")
 
@@ -65,20 +62,6 @@ def _live(hourly: Query) -> Query:
     return query
 
 
-def _approximate_low_uptime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the sketch agrees with the exact count, within four standard errors and one device."""
-    messages = decode.sense_messages(decode_once(_sense_parsed(spark, sf_dir), "low_uptime"))
-    exact = metrics.low_uptime_devices(messages).withColumnRenamed("devices", "exact")
-    off = F.abs(F.col("devices") - F.col("exact"))
-    return (
-        metrics.low_uptime_devices_approx(messages)
-        .join(exact, ["shard_id", "hour_start"])
-        .select(
-            "shard_id", "hour_start", (off <= F.col("exact") * 4 * metrics.DISTINCT_ERROR + 1).alias("within_error")
-        )
-    )
-
-
 def _meter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = decode_once(_sense_parsed(spark, sf_dir), "meter_rates")
     minutes = metrics.meter_events(
@@ -144,7 +127,7 @@ QUERIES: dict[str, Query] = {
     "pill_messages_processed": lambda spark, sf_dir: metrics.messages_processed(derived.pill_raw(spark, sf_dir)),
     "wave_counts": _sense(metrics.wave_counts),
     "low_uptime_devices": _sense(metrics.low_uptime_devices),
-    "low_uptime_devices_approx": _approximate_low_uptime,
+    "low_uptime_devices_approx": _sense(metrics.low_uptime_devices_approx),
     "uptime_days": _sense(metrics.uptime_days),
     "meter_rates": _meter_rates,
     "metrics_report": _metrics_report,

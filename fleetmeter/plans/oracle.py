@@ -8,6 +8,12 @@ from __future__ import annotations
 
 from fleetmeter.plans.streams import STREAMS
 
+# Of a message: its shard, its sequence number as text, and its payload where that is no message.
+_RECORD = """printf('shardId-%012d', user_id % 4) AS shard_id,
+         CASE WHEN seq < 400 THEN CAST(seq AS VARCHAR) ELSE '4960' || lpad(CAST(seq AS VARCHAR), 40, '0') END AS seq_text,
+         CASE WHEN seq % 97 = 0 THEN '{bad' WHEN seq % 89 = 0 THEN '{"uptime_in_second":1} late' WHEN seq % 83 = 0 THEN '{}{}'
+         END AS bad_payload"""
+
 # One row per event, one per message, one per data point; malformed messages are marked.
 _BASE = """
 WITH RECURSIVE ev AS (
@@ -20,9 +26,8 @@ WITH RECURSIVE ev AS (
          ms // 1000 + CASE WHEN k % 10 = 0 THEN 7200 WHEN k % 7 = 0 THEN -1800 ELSE 0 END AS unix_time
   FROM ev
 ), sr AS (
-  SELECT user_id, d, max(event_id) AS seq, max(ms) AS received_at,
-         printf('shardId-%012d', user_id % 4) AS shard_id, 'sense-' || user_id AS device_id
-  FROM ev GROUP BY user_id, d
+  SELECT *, CASE WHEN seq % 31 = 0 THEN 0 ELSE arrival_ms + (seq % 5 - 2) * 2700000 END AS received_at, {record}
+  FROM (SELECT user_id, d, max(event_id) AS seq, max(ms) AS arrival_ms, 'sense-' || user_id AS device_id FROM ev GROUP BY user_id, d)
 ), sm AS (
   SELECT sr.*, sp.k, sp.event_type, 100 * sp.k * sp.k AS uptime,
          CASE WHEN sp.event_type = 'error' THEN '' ELSE 'ssid-' || (sr.user_id % 5) END AS ssid,
@@ -30,9 +35,9 @@ WITH RECURSIVE ev AS (
          CASE sp.event_type WHEN 'error' THEN NULL WHEN 'signup' THEN '0' ELSE '1.' || (sp.k % 4) END AS top_v,
          CASE WHEN sp.k % 9 = 0 THEN '0' ELSE 'mid' || (200 + sp.k % 5) END AS mid_v
   FROM sr JOIN sp ON sp.event_id = sr.seq
-  WHERE sr.seq % 97 <> 0
+  WHERE sr.bad_payload IS NULL
 ), pt AS (
-  SELECT sm.seq, sm.shard_id, sm.device_id, sm.received_at, sm.batch_fw, sp.position, sp.unix_time,
+  SELECT sm.seq, sm.seq_text, sm.shard_id, sm.device_id, sm.arrival_ms, sm.batch_fw, sp.position, sp.unix_time,
          CASE WHEN sp.event_type = 'view' THEN NULL ELSE sp.k % 4 END AS wave_count,
          CASE WHEN sp.k % 3 = 0 THEN NULL ELSE 300 + 50 * sp.k END AS co2,
          CASE WHEN sp.event_type IN ('click', 'purchase') THEN (890 + 2 * sp.k) * 25600 END AS pa,
@@ -42,15 +47,14 @@ WITH RECURSIVE ev AS (
          100 * sp.k + 50 * (sp.user_id % 3) AS hum, 125 * sp.k - 125 AS tmp, 90 + sp.k % 4 AS point_fw
   FROM sm JOIN sp USING (user_id, d)
 ), pr AS (
-  SELECT user_id, d, max(event_id) AS seq, max(ms) AS arrival_ms,
-         printf('shardId-%012d', user_id % 4) AS shard_id
-  FROM ev WHERE event_type IN ('click', 'view') GROUP BY user_id, d
+  SELECT *, {record}
+  FROM (SELECT user_id, d, max(event_id) AS seq, max(ms) AS arrival_ms FROM ev WHERE event_type IN ('click', 'view') GROUP BY user_id, d)
 ), pl AS (
-  SELECT pr.seq, pr.shard_id, pr.arrival_ms, 'pill-' || (2 * sp.user_id + sp.k % 2) AS device_id,
+  SELECT pr.seq, pr.seq_text, pr.shard_id, pr.arrival_ms, 'pill-' || (2 * sp.user_id + sp.k % 2) AS device_id,
          sp.unix_time * 1000 AS seen_at, sp.event_id AS ord
   FROM pr JOIN sp USING (user_id, d)
-  WHERE pr.seq % 97 <> 0 AND sp.event_type IN ('click', 'view')
-)"""
+  WHERE pr.bad_payload IS NULL AND sp.event_type IN ('click', 'view')
+)""".replace("{record}", _RECORD)
 
 _LAST = """, lastm AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY seq DESC) AS rn FROM sm) WHERE rn = 1
@@ -79,16 +83,16 @@ _LAST_PILL = """, lastp AS (
 
 # One firmware per message.
 _FW = """, cand AS (
-  SELECT seq, shard_id, device_id, CAST(coalesce(batch_fw, point_fw) AS VARCHAR) AS version,
+  SELECT seq, seq_text, shard_id, device_id, CAST(coalesce(batch_fw, point_fw) AS VARCHAR) AS version,
          max(unix_time) * 1000 AS ts
   FROM pt GROUP BY ALL
 ), best AS (
   SELECT *, row_number() OVER (PARTITION BY seq ORDER BY ts DESC, version DESC) AS rn FROM cand
 ), fw AS (
-  SELECT seq, shard_id, device_id, mid_v AS middle_version, top_v AS top_version, received_at AS ts
+  SELECT seq, seq_text, shard_id, device_id, mid_v AS middle_version, top_v AS top_version, received_at AS ts
   FROM sm WHERE top_v IS NOT NULL AND top_v <> '0'
   UNION ALL
-  SELECT b.seq, b.shard_id, b.device_id, b.version, '0', b.ts
+  SELECT b.seq, b.seq_text, b.shard_id, b.device_id, b.version, '0', b.ts
   FROM best b JOIN sm USING (seq) WHERE b.rn = 1 AND (sm.top_v IS NULL OR sm.top_v = '0')
 )"""
 
@@ -121,7 +125,18 @@ SELECT version, device_id, ts AS "timestamp" FROM (
 ) WHERE rn = 1"""
 
 
-_HOURS_SENSE = """, hs AS (SELECT DISTINCT received_at // 3600000 AS h, device_id FROM sm)"""
+def _last_write(part: str) -> str:
+    return f"""
+  SELECT version, ts AS "timestamp" FROM (
+    SELECT {part} AS version, ts, row_number() OVER (PARTITION BY {part} ORDER BY seq DESC) AS rn FROM fw WHERE {part} <> '0'
+  ) WHERE rn = 1"""
+
+
+_SEEN = f""", seen_middle AS ({_last_write("middle_version")}
+), seen_top AS ({_last_write("top_version")}
+)"""
+
+_HOURS_SENSE = """, hs AS (SELECT DISTINCT arrival_ms // 3600000 AS h, device_id FROM sm)"""
 _HOURS_PILL = """, hp AS (SELECT DISTINCT arrival_ms // 3600000 AS h, device_id FROM pl)"""
 
 
@@ -149,7 +164,7 @@ _BAD = """, bad AS (
 )"""
 
 _LOW = """, low AS (
-  SELECT shard_id, received_at // 3600000 * 3600000 AS hour_start, device_id, min(received_at) AS first_ms
+  SELECT shard_id, arrival_ms // 3600000 * 3600000 AS hour_start, device_id, min(arrival_ms) AS first_ms
   FROM sm WHERE uptime <= 3600 GROUP BY ALL
 )"""
 
@@ -158,11 +173,11 @@ _METERED = (
     _BAD
     + _LOW
     + """, metered AS (
-  SELECT 'sense.messages-processed' AS metric, received_at AS t_ms, 1 AS amount FROM sr
+  SELECT 'sense.messages-processed' AS metric, arrival_ms AS t_ms, 1 AS amount FROM sr
   UNION ALL SELECT 'pill.messages-processed', arrival_ms, 1 FROM pr
   UNION ALL SELECT 'sense.low-uptime', first_ms, 1 FROM low
-  UNION ALL SELECT 'sense.wave-counts', received_at, wave_count FROM pt WHERE wave_count > 0
-  UNION ALL SELECT 'sense.' || meter, received_at, 1 FROM bad
+  UNION ALL SELECT 'sense.wave-counts', arrival_ms, wave_count FROM pt WHERE wave_count > 0
+  UNION ALL SELECT 'sense.' || meter, arrival_ms, 1 FROM bad
 )"""
 )
 
@@ -170,25 +185,25 @@ _METERED = (
 def _track(stream: str, times: str) -> str:
     """The sampling rule record by record, in arrival order."""
     return f""", seqd AS (
-  SELECT shard_id, seq, ts, row_number() OVER (PARTITION BY shard_id ORDER BY seq, ord) AS rn
+  SELECT shard_id, seq, seq_text, ts, row_number() OVER (PARTITION BY shard_id ORDER BY seq, ord) AS rn
   FROM ({times})
 ), walk AS (
-  SELECT shard_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS last_kept, CAST(0 AS BIGINT) AS seq, FALSE AS kept
+  SELECT shard_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS last_kept, '' AS seq_text, FALSE AS kept
   FROM (SELECT DISTINCT shard_id FROM seqd)
   UNION ALL
-  SELECT s.shard_id, s.rn, CASE WHEN s.ts > w.last_kept + 300000 THEN s.ts ELSE w.last_kept END, s.seq,
+  SELECT s.shard_id, s.rn, CASE WHEN s.ts > w.last_kept + 300000 THEN s.ts ELSE w.last_kept END, s.seq_text,
          s.ts > w.last_kept + 300000
   FROM walk w JOIN seqd s ON s.shard_id = w.shard_id AND s.rn = w.rn + 1
 )
 SELECT '{stream}:' || shard_id AS stream_shard_id,
        strftime(make_timestamp(last_kept * 1000), '%Y-%m-%d %H:%M:%S') || '+0000' AS created_at,
-       CAST(seq AS VARCHAR) AS checkpoint
+       seq_text AS checkpoint
 FROM walk WHERE kept"""
 
 
-_SENSE_TIMES = """SELECT shard_id, seq, position AS ord, unix_time * 1000 AS ts FROM pt
-        WHERE unix_time * 1000 < received_at + 3600000"""
-_PILL_TIMES = """SELECT shard_id, seq, ord, seen_at AS ts FROM pl WHERE seen_at < arrival_ms + 3600000"""
+_SENSE_TIMES = """SELECT shard_id, seq, seq_text, position AS ord, unix_time * 1000 AS ts FROM pt
+        WHERE unix_time * 1000 < arrival_ms + 3600000"""
+_PILL_TIMES = """SELECT shard_id, seq, seq_text, ord, seen_at AS ts FROM pl WHERE seen_at < arrival_ms + 3600000"""
 
 _UPTIME_STATS = """
        round(avg(days), 6) AS mean_days, round(stddev_samp(days), 6) AS stddev_days,
@@ -213,7 +228,7 @@ _REPORT = (
   WHERE regexp_matches(metric, 'messages-processed') OR regexp_matches(metric, 'wave')
      OR regexp_matches(metric, '^sense[.]low-')
   GROUP BY ALL
-), ud AS (SELECT received_at // 30000 * 30000 AS window_start, CAST(uptime // 86400 AS DOUBLE) AS days FROM sm)
+), ud AS (SELECT arrival_ms // 30000 * 30000 AS window_start, CAST(uptime // 86400 AS DOUBLE) AS days FROM sm)
 SELECT metric || '.count' AS metric, window_start, CAST(events AS DOUBLE) AS value FROM iv
 UNION ALL SELECT metric || '.rate', window_start, round(events / 30.0, 6) FROM iv"""
     + "".join(
@@ -226,6 +241,7 @@ _EXPORT = (
     _WIFI
     + _LAST_PILL
     + _DEVICE_FW
+    + _SEEN
     + _HOURS_SENSE
     + _HOURS_PILL
     + f""", hsk AS ({_hourly("hs")}), hpk AS ({_hourly("hp")}),
@@ -236,10 +252,8 @@ UNION ALL SELECT 'wifi_info', device_id, ssid || ' : ' || rssi FROM wifi
 UNION ALL SELECT 'device_id:' || device_id, 'middle_version', middle_version FROM devfw WHERE middle_version IS NOT NULL
 UNION ALL SELECT 'device_id:' || device_id, 'top_version', top_version FROM devfw WHERE top_version IS NOT NULL
 UNION ALL SELECT 'device_id:' || device_id, 'timestamp', CAST("timestamp" AS VARCHAR) FROM devfw
-UNION ALL SELECT 'firmwares_seen', middle_version, CAST(max(ts) AS VARCHAR) FROM fw
-  WHERE middle_version <> '0' GROUP BY middle_version
-UNION ALL SELECT 'top_firmwares_seen', top_version, CAST(max(ts) AS VARCHAR) FROM fw
-  WHERE top_version <> '0' GROUP BY top_version
+UNION ALL SELECT 'firmwares_seen', version, CAST("timestamp" AS VARCHAR) FROM seen_middle
+UNION ALL SELECT 'top_firmwares_seen', version, CAST("timestamp" AS VARCHAR) FROM seen_top
 UNION ALL SELECT 'middle:' || version, device_id, CAST("timestamp" AS VARCHAR) FROM mdev
 UNION ALL SELECT 'top:' || version, device_id, CAST("timestamp" AS VARCHAR) FROM tdev
 UNION ALL SELECT 'active_pills', device_id, CAST(seen_at AS VARCHAR) FROM lastp
@@ -251,11 +265,9 @@ _NOW = "(SELECT max(epoch_us(ts) // 1000) // 1000 FROM events)"
 
 _BODIES: dict[str, str] = {
     "sense_dead_letters": """
-SELECT shard_id, CAST(seq AS VARCHAR) AS sequence_number, received_at AS arrival_ms, '{bad' AS payload
-FROM sr WHERE seq % 97 = 0""",
+SELECT shard_id, seq_text AS sequence_number, arrival_ms, bad_payload AS payload FROM sr WHERE bad_payload IS NOT NULL""",
     "pill_dead_letters": """
-SELECT shard_id, CAST(seq AS VARCHAR) AS sequence_number, arrival_ms, '{bad' AS payload
-FROM pr WHERE seq % 97 = 0""",
+SELECT shard_id, seq_text AS sequence_number, arrival_ms, bad_payload AS payload FROM pr WHERE bad_payload IS NOT NULL""",
     "active_senses": _LAST + " SELECT device_id, received_at FROM lastm",
     "active_pills": _LAST_PILL + " SELECT device_id, seen_at FROM lastp",
     "sense_uptimes": _LAST + " SELECT device_id, CAST(uptime AS INTEGER) AS uptime_seconds FROM lastm",
@@ -268,17 +280,17 @@ SELECT device_id, ssid, rssi, ssid || ' : ' || rssi AS wifi_text, ssid <> '' AND
     "hourly_active_pill_live": _HOURS_PILL + _hourly("hp") + f" WHERE h * 3600 + 172800 > {_NOW}",
     "sense_firmware": _FW
     + """
-SELECT shard_id, CAST(seq AS VARCHAR) AS sequence_number, device_id, middle_version, top_version, ts AS "timestamp"
+SELECT shard_id, seq_text AS sequence_number, device_id, middle_version, top_version, ts AS "timestamp"
 FROM fw""",
     "missing_top_firmware": """
-SELECT shard_id, CAST(seq AS VARCHAR) AS sequence_number, device_id FROM sm WHERE coalesce(top_v, '0') = '0'""",
+SELECT shard_id, seq_text AS sequence_number, device_id FROM sm WHERE coalesce(top_v, '0') = '0'""",
     "device_firmware": _DEVICE_FW + " SELECT * FROM devfw",
-    "firmwares_seen": _FW
+    "firmwares_seen": _FW + _SEEN
     + """
-SELECT middle_version AS version, max(ts) AS "timestamp" FROM fw WHERE middle_version <> '0' GROUP BY ALL""",
-    "top_firmwares_seen": _FW
+SELECT * FROM seen_middle""",
+    "top_firmwares_seen": _FW + _SEEN
     + """
-SELECT top_version AS version, max(ts) AS "timestamp" FROM fw WHERE top_version <> '0' GROUP BY ALL""",
+SELECT * FROM seen_top""",
     "middle_firmware_devices": _FW + _version_devices("middle_version"),
     "top_firmware_devices": _FW + _version_devices("top_version"),
     "data_quality_counts": _BAD
@@ -289,18 +301,21 @@ FROM (VALUES ('low-co2'), ('high-co2'), ('low-pa'), ('high-pa'), ('high-uv'), ('
 LEFT JOIN bad ON bad.meter = m.meter GROUP BY m.meter""",
     "bad_sensor_events": _BAD
     + """
-SELECT shard_id, CAST(seq AS VARCHAR) AS sequence_number, CAST(position AS INTEGER) AS position, device_id,
+SELECT shard_id, seq_text AS sequence_number, CAST(position AS INTEGER) AS position, device_id,
        CAST(coalesce(batch_fw, 0) AS INTEGER) AS fw_version, meter, sensor, CAST(val AS INTEGER) AS value
 FROM bad""",
     "sense_messages_processed": " SELECT count(*) AS messages FROM sr",
     "pill_messages_processed": " SELECT count(*) AS messages FROM pr",
     "wave_counts": " SELECT CAST(coalesce(sum(wave_count), 0) AS BIGINT) AS wave_count FROM pt",
     "low_uptime_devices": """
-SELECT shard_id, received_at // 3600000 * 3600000 AS hour_start, count(DISTINCT device_id) AS devices
+SELECT shard_id, arrival_ms // 3600000 * 3600000 AS hour_start, count(DISTINCT device_id) AS devices
 FROM sm WHERE uptime <= 3600 GROUP BY ALL""",
     "low_uptime_devices_approx": """
-SELECT DISTINCT shard_id, received_at // 3600000 * 3600000 AS hour_start, TRUE AS within_error
-FROM sm WHERE uptime <= 3600""",
+SELECT s.shard_id, w.period_hours, arrival_ms // (period_hours * 3600000) * (period_hours * 3600000) AS period_start,
+       count(DISTINCT device_id) AS devices
+FROM (SELECT shard_id, device_id, arrival_ms FROM sm WHERE uptime <= 3600
+      UNION ALL SELECT 'all', device_id, arrival_ms FROM sm WHERE uptime <= 3600) s,
+     (VALUES (1::BIGINT), (24), (168)) w(period_hours) GROUP BY ALL""",
     "uptime_days": f"""
 SELECT count(*) AS messages, CAST(min(days) AS INTEGER) AS min_days, CAST(max(days) AS INTEGER) AS max_days,{_UPTIME_STATS}
 FROM (SELECT CAST(uptime // 86400 AS DOUBLE) AS days FROM sm)""",

@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.operators import devices, firmware, metrics
+from fleetmeter.functions import rules
+from fleetmeter.operators import devices, firmware, metrics, positions
 from fleetmeter.sources import decode, derived
 from fleetmeter.sources.raw import read_stream
 from fleetmeter.sources.tables import scratch_dir
 from fleetmeter.streaming import changes, jobs
 
+SENSE_STREAM = "sense_sensors_data"
+PILL_STREAM = "batch_pill_data"
+
 BATCHES = 4
 NOW = {"availableNow": True}
 
@@ -74,19 +78,66 @@ def _low_uptime_counts(first: DataFrame) -> DataFrame:
     return first.groupBy("shard_id", "hour_start").agg(F.count(F.lit(1)).alias("devices"))
 
 
+def _live(start: Callable, make_raw: Callable, table: str) -> Callable:
+    """The live hourly sets as of the newest event, from the rings."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        now = derived.events(spark, sf_dir).agg(F.max("ms")).first()[0]
+        return _job(start, make_raw, table, lambda rings: devices.with_hour_key(devices.ring_hours(rings, now or 0)))(spark, sf_dir)
+
+    return query
+
+
+def _sum(metric: str, name: str) -> Callable[[DataFrame], DataFrame]:
+    def total(minutes: DataFrame) -> DataFrame:
+        return minutes.where(F.col("metric") == metric).agg(F.coalesce(F.sum("events"), F.lit(0).cast("long")).alias(name))
+
+    return total
+
+
+def _quality_counts(minutes: DataFrame) -> DataFrame:
+    meters = F.explode(F.array(*[F.lit(m) for m in rules.METERS])).alias("meter")
+    names = minutes.sparkSession.range(1).select(meters)
+    counts = minutes.groupBy(F.col("metric").substr(F.lit(len("sense.") + 1), F.length("metric")).alias("meter")).agg(
+        F.sum("events").alias("events")
+    )
+    return names.join(counts, "meter", "left").select("meter", F.coalesce("events", F.lit(0).cast("long")).alias("events"))
+
+
+def _sense(table: str, view: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Callable:
+    return _job(jobs.start_sense, derived.sense_raw, table, view)
+
+
+def _pill(table: str, view: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Callable:
+    return _job(jobs.start_pill, derived.pill_raw, table, view)
+
+
 # Name of the batch query with the same result -> streaming query.
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "sense_dead_letters": _sense("sense_dead_letters"),
+    "pill_dead_letters": _pill("pill_dead_letters"),
     "active_senses": _active_senses,
-    "active_pills": _job(
-        jobs.start_pill, derived.pill_raw, "pill_state", lambda t: t.select("device_id", "seen_at")
-    ),
-    "wifi_info": _job(jobs.start_sense, derived.sense_raw, "sense_state", devices.with_wifi_text),
-    "device_firmware": _job(
-        jobs.start_sense, derived.sense_raw, "firmware_versions", firmware.device_firmware_view
-    ),
-    "hourly_active_sense": _job(jobs.start_sense, derived.sense_raw, "sense_hours", devices.with_hour_key),
-    "low_uptime_devices": _job(jobs.start_sense, derived.sense_raw, "low_uptime", _low_uptime_counts),
-    "uptime_days": _job(jobs.start_sense, derived.sense_raw, "uptime_histogram", metrics.distribution),
+    "active_pills": _pill("pill_state", lambda t: t.select("device_id", "seen_at")),
+    "sense_uptimes": _sense("sense_state", lambda t: t.select("device_id", "uptime_seconds")),
+    "wifi_info": _sense("sense_state", devices.with_wifi_text),
+    "device_firmware": _sense("firmware_versions", firmware.device_firmware_view),
+    "firmwares_seen": _sense("firmware_versions", lambda t: firmware.seen_view(t, "middle")),
+    "top_firmwares_seen": _sense("firmware_versions", lambda t: firmware.seen_view(t, "top")),
+    "middle_firmware_devices": _sense("firmware_versions", lambda t: firmware.devices_view(t, "middle")),
+    "top_firmware_devices": _sense("firmware_versions", lambda t: firmware.devices_view(t, "top")),
+    "hourly_active_sense": _sense("sense_hours", devices.with_hour_key),
+    "hourly_active_pill": _pill("pill_hours", devices.with_hour_key),
+    "hourly_active_sense_live": _live(jobs.start_sense, derived.sense_raw, "sense_rings"),
+    "hourly_active_pill_live": _live(jobs.start_pill, derived.pill_raw, "pill_rings"),
+    "low_uptime_devices": _sense("low_uptime", _low_uptime_counts),
+    "low_uptime_devices_approx": _sense("low_uptime_sketches", metrics.sketched_devices),
+    "uptime_days": _sense("uptime_histogram", metrics.distribution),
     "meter_rates": _meter_rates,
-    "bad_sensor_events": _job(jobs.start_sense, derived.sense_raw, "bad_sensor_events", lambda t: t),
+    "data_quality_counts": _sense("sense_minutes", _quality_counts),
+    "wave_counts": _sense("sense_minutes", _sum("sense.wave-counts", "wave_count")),
+    "sense_messages_processed": _sense("sense_minutes", _sum("sense.messages-processed", "messages")),
+    "pill_messages_processed": _pill("pill_minutes", _sum("pill.messages-processed", "messages")),
+    "bad_sensor_events": _sense("bad_sensor_events"),
+    "sense_checkpoint_track": _sense(jobs.SENSE_POSITIONS, lambda t: positions.checkpoint_track(t, SENSE_STREAM)),
+    "pill_checkpoint_track": _pill(jobs.PILL_POSITIONS, lambda t: positions.checkpoint_track(t, PILL_STREAM)),
 }

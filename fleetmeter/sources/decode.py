@@ -39,20 +39,6 @@ def parse(raw: DataFrame, message: T.StructType) -> DataFrame:
     )
 
 
-def parse_protobuf(raw: DataFrame, message_name: str, descriptor_path: str) -> DataFrame:
-    """Same result as :func:`parse` for binary protobuf payloads.
-
-    Needs Spark's protobuf package on the classpath and a descriptor set of the message.
-    """
-    from pyspark.sql.protobuf.functions import from_protobuf
-
-    parsed = from_protobuf(F.col("payload"), message_name, descFilePath=descriptor_path, options={"mode": "PERMISSIVE"})
-    columns = ["shard_id", "sequence_number", "arrival_ms", "payload"]
-    return raw.select(*columns, F.inline(F.array(F.struct(parsed.alias("message"))))).withColumn(
-        "malformed", F.col("message").isNull()
-    )
-
-
 def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where("malformed").select("shard_id", "sequence_number", "arrival_ms", "payload")
 

@@ -50,7 +50,7 @@ _PILL = f"named_struct('device_id', concat('pill-', 2 * user_id + k % 2), 'times
 _SENSE_PAYLOAD = """
 named_struct(
   'uptime_in_second', 100 * last.k * last.k,
-  'received_at', arrival_ms,
+  'received_at', CASE WHEN seq % 31 <> 0 THEN arrival_ms + (seq % 5 - 2) * 2700000 END,
   'firmware_top_version',
     CASE last.event_type WHEN 'error' THEN NULL WHEN 'signup' THEN '0' ELSE concat('1.', last.k % 4) END,
   'firmware_middle_version', CASE WHEN last.k % 9 = 0 THEN '0' ELSE concat('mid', 200 + last.k % 5) END,
@@ -62,6 +62,10 @@ named_struct(
     'data', events.point))
 """
 
+# Records that are no message: cut off, with text after the message, two messages.
+_MALFORMED = """WHEN seq % 97 = 0 THEN '{bad' WHEN seq % 89 = 0 THEN '{"uptime_in_second":1} late'
+  WHEN seq % 83 = 0 THEN '{}{}'"""
+
 _PILL_PAYLOAD = "named_struct('pills', events.pill)"
 
 
@@ -91,9 +95,9 @@ def _messages(rows: DataFrame, parts: dict[str, str]) -> DataFrame:
 def _raw(messages: DataFrame, payload: str) -> DataFrame:
     return messages.selectExpr(
         "format_string('shardId-%012d', user_id % 4) AS shard_id",
-        "string(seq) AS sequence_number",
+        "CASE WHEN seq < 400 THEN string(seq) ELSE concat('4960', lpad(string(seq), 40, '0')) END AS sequence_number",
         "arrival_ms",
-        f"CASE WHEN seq % 97 = 0 THEN '{{bad' ELSE to_json({payload}) END AS payload",
+        f"CASE {_MALFORMED} ELSE to_json({payload}) END AS payload",
     )
 
 

@@ -25,15 +25,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows kept in the scratch place, where they survive the loss of an executor."""
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def decode_once(parsed: DataFrame, purpose: str) -> DataFrame:
     """Parsed records, malformed ones included, kept in the scratch place without their payloads.
 
-    For queries with several branches: parsing costs far more than writing and reading columns, and
-    the stored rows survive the loss of an executor.
+    For queries with several branches: parsing costs far more than writing and reading columns.
     """
-    path = scratch_dir(parsed.sparkSession, purpose)
-    parsed.drop("payload").write.parquet(path)
-    return parsed.sparkSession.read.parquet(path)
+    return stored(parsed.drop("payload"), purpose)
 
 
 def write_decoded(messages: DataFrame, path: str) -> None:

@@ -1,9 +1,9 @@
-"""Keyed tables fed by a stream.
+"""Tables fed by a stream.
 
 A stream batch writes its *reduced* rows to a folder named by the batch, so a repeated batch
-overwrites its own folder and nothing else. The table is the reduction of all folders. The
-reductions are associative and idempotent, so folding old folders into one changes no result,
-even while both are still there.
+overwrites its own folder and nothing else. A fold reduces the folders up to a batch into one. The
+table is the reduction of its live folders: the last committed fold and the committed batches after it, so a row
+counts once and reductions may add up.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Reduce = Callable[[DataFrame], DataFrame]
 
@@ -30,15 +29,13 @@ def write(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{_FOLDER}={batch_folder(batch_id)}")
 
 
-def read(spark: SparkSession, path: str, reduce: Reduce | None = None) -> DataFrame:
-    rows = spark.read.parquet(path).drop(_FOLDER)
-    return reduce(rows) if reduce else rows
+def read(spark: SparkSession, path: str, reduce: Reduce) -> DataFrame:
+    return reduce(_rows(spark, path, live(spark, path)))
 
 
-def read_before(spark: SparkSession, path: str, batch_id: int, reduce: Reduce) -> DataFrame:
-    """The table as it was when ``batch_id`` started; the folder filter prunes files."""
-    rows = spark.read.parquet(path).where(F.substring(_FOLDER, 2, 12).cast("long") < batch_id)
-    return reduce(rows.drop(_FOLDER))
+def _rows(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    places = [f"{path}/{_FOLDER}={n}" for n in names]
+    return spark.read.option("basePath", path).parquet(*(places or [path])).drop(_FOLDER)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:
@@ -57,6 +54,15 @@ def _committed(spark: SparkSession, path: str, name: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def live(spark: SparkSession, path: str, through: int | None = None) -> list[str]:
+    """The folders that make up the table, or what it was after batch ``through``."""
+    names = [n for n in folders(spark, path) if through is None or int(n[1:]) <= through]
+    names = [n for n in names if _committed(spark, path, n)]
+    folds = [n for n in names if n.startswith("f")][-1:]
+    since = int(folds[0][1:]) if folds else -1
+    return folds + [n for n in names if n.startswith("b") and int(n[1:]) > since]
+
+
 def fold(spark: SparkSession, path: str, through: int, reduce: Reduce) -> None:
     """Fold the folders up to batch ``through`` into one.
 
@@ -65,14 +71,11 @@ def fold(spark: SparkSession, path: str, through: int, reduce: Reduce) -> None:
     committed fold covers are removed. Call it only for batches that are complete.
     """
     old = [n for n in folders(spark, path) if int(n[1:]) <= through]
-    folded = [n for n in old if n.startswith("f") and _committed(spark, path, n)]
-    since = int(folded[-1][1:]) if folded else -1
-    fresh = [n for n in old if n.startswith("b") and int(n[1:]) > since] + folded[-1:]
+    fresh = live(spark, path, through)
     if len(fresh) < 2:
         return
-    rows = spark.read.option("basePath", path).parquet(*[f"{path}/{_FOLDER}={n}" for n in fresh]).drop(_FOLDER)
     target = _folded_folder(through)
-    reduce(rows).write.mode("overwrite").parquet(f"{path}/{_FOLDER}={target}")
+    reduce(_rows(spark, path, fresh)).write.mode("overwrite").parquet(f"{path}/{_FOLDER}={target}")
     if not _committed(spark, path, target):
         raise RuntimeError(f"{path}: the fold through batch {through} has no commit marker")
     root = spark._jvm.org.apache.hadoop.fs.Path(path)

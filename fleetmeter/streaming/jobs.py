@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetmeter import schemas
-from fleetmeter.functions.clock import MINUTE_MS, hour_expiry
+from fleetmeter.functions.clock import HOUR_MS, MINUTE_MS, hour_expiry
 from fleetmeter.operators import devices, firmware, metrics, positions, quality
 from fleetmeter.operators.latest import reduce_latest
-from fleetmeter.sources import decode
+from fleetmeter.sources import decode, tables
 from fleetmeter.sources.raw import READ_INTERVAL
 from fleetmeter.streaming import changes
 
@@ -35,27 +35,15 @@ FOLD_EVERY = 100
 
 
 class Table(NamedTuple):
-    """``rows`` makes the batch's rows from its parsed records; ``reduce`` merges folders.
+    """``rows`` makes the batch's rows from its parsed records; ``reduce`` merges folders (none: they are appended).
 
-    Without ``reduce`` the table is a plain append. An ``additive`` reduction would count a row
-    twice that sits in two folders, so its rows carry their batch and are made distinct first.
+    ``view`` makes what readers get of the merged rows. ``purge`` is a merge as of an hour, for tables whose rows expire.
     """
 
     rows: Callable[[DataFrame], DataFrame]
-    reduce: changes.Reduce | None = None
-    additive: bool = False
-
-    def batch_rows(self, parsed: DataFrame, batch_id: int) -> DataFrame:
-        rows = self.rows(parsed)
-        return rows.withColumn("batch_id", F.lit(batch_id).cast("long")) if self.additive else rows
-
-    def merge(self, rows: DataFrame) -> DataFrame:
-        return rows.distinct() if self.additive else self.reduce(rows)
-
-    def current(self, rows: DataFrame) -> DataFrame:
-        if self.reduce is None:
-            return rows
-        return self.reduce(rows.distinct() if self.additive else rows)
+    reduce: changes.Reduce = lambda rows: rows
+    view: changes.Reduce = lambda rows: rows
+    purge: Callable[[DataFrame, int], DataFrame] | None = None
 
 
 def _from_messages(operator: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
@@ -70,9 +58,9 @@ def _sum_events(rows: DataFrame) -> DataFrame:
     return rows.groupBy("metric", "window_start").agg(F.sum("events").alias("events"))
 
 
-def _unexpired(hours: DataFrame, as_of_ms: int) -> DataFrame:
-    """Members of hourly sets that still live at ``as_of_ms``."""
-    return hours.where(hour_expiry(F.col("hour_start")) > as_of_ms // 1000)
+def _live_hours(hours: DataFrame, hour: int) -> DataFrame:
+    """Members of hourly sets that still live at the start of ``hour``."""
+    return hours.distinct().where(hour_expiry(F.col("hour_start")) > hour * HOUR_MS // 1000)
 
 
 def _sum_days(rows: DataFrame) -> DataFrame:
@@ -83,6 +71,10 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
+# The position index of each stream, kept as a staircase for each shard and thinned on read.
+SENSE_POSITIONS = "sense_positions"
+PILL_POSITIONS = "pill_positions"
+
 SENSE_TABLES: dict[str, Table] = {
     "sense_dead_letters": Table(decode.dead_letters),
     "sense_state": Table(
@@ -92,11 +84,20 @@ SENSE_TABLES: dict[str, Table] = {
     "firmware_versions": Table(
         _from_messages(lambda m: firmware.version_state(firmware.sense_firmware(m))), firmware.reduce_version_state
     ),
-    "sense_hours": Table(_from_messages(lambda m: devices.active_hours(m, "arrival_ms")), _distinct),
+    "sense_hours": Table(_from_messages(lambda m: devices.active_hours(m, "arrival_ms")), _distinct, purge=_live_hours),
+    "sense_rings": Table(
+        _from_messages(lambda m: devices.hour_rings(m, "arrival_ms")), devices.merge_rings, purge=devices.turn_rings
+    ),
     "low_uptime": Table(_from_messages(metrics.low_uptime_first), metrics.reduce_low_uptime),
-    "uptime_histogram": Table(_from_messages(metrics.uptime_histogram), _sum_days, additive=True),
+    "low_uptime_sketches": Table(_from_messages(metrics.low_uptime_sketches), metrics.merge_sketches),
+    "uptime_histogram": Table(_from_messages(metrics.uptime_histogram), _sum_days),
     "bad_sensor_events": Table(_from_messages(quality.bad_sensor_events)),
-    "sense_minutes": Table(lambda parsed: metrics.sense_meters(parsed, MINUTE_MS), _sum_events, additive=True),
+    "sense_minutes": Table(lambda parsed: metrics.sense_meters(parsed, MINUTE_MS), _sum_events),
+    SENSE_POSITIONS: Table(
+        _from_messages(lambda m: positions.candidates(positions.sense_times(m))),
+        positions.reduce_candidates,
+        positions.thinned,
+    ),
 }
 
 PILL_TABLES: dict[str, Table] = {
@@ -104,46 +105,32 @@ PILL_TABLES: dict[str, Table] = {
     "pill_state": Table(
         _from_readings(devices.pill_state), partial(reduce_latest, keys=["device_id"], values=["seen_at"])
     ),
-    "pill_hours": Table(_from_readings(lambda r: devices.active_hours(r, "arrival_ms")), _distinct),
-    "pill_minutes": Table(lambda parsed: metrics.pill_meters(parsed, MINUTE_MS), _sum_events, additive=True),
+    "pill_hours": Table(_from_readings(lambda r: devices.active_hours(r, "arrival_ms")), _distinct, purge=_live_hours),
+    "pill_rings": Table(
+        _from_readings(lambda r: devices.hour_rings(r, "arrival_ms")), devices.merge_rings, purge=devices.turn_rings
+    ),
+    "pill_minutes": Table(lambda parsed: metrics.pill_meters(parsed, MINUTE_MS), _sum_events),
+    PILL_POSITIONS: Table(
+        _from_readings(lambda r: positions.candidates(positions.pill_times(r))),
+        positions.reduce_candidates,
+        positions.thinned,
+    ),
 }
 
-# Tables of hourly sets: a fold drops the hours that have expired.
+# One row per (hour, device). The rings hold the live ones in a row per device; ask for these only to keep more hours than that.
 HOUR_TABLES = ("sense_hours", "pill_hours")
 
-# Position index of each stream: the kept readings, and beside them the last kept time per shard.
-SENSE_POSITIONS = "sense_positions"
-PILL_POSITIONS = "pill_positions"
-
-
-def _max_kept(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("shard_id").agg(F.max("last_kept").alias("last_kept"))
 
-
-def _write_positions(times: DataFrame, path: str, batch_id: int) -> None:
-    """The fold goes on from the last kept time of each shard, as it was before this batch.
-
-    Arrival order must hold between batches, as it does for a sharded source.
-    """
-    spark = times.sparkSession
-    state = f"{path}_last"
-    before = [n for n in changes.folders(spark, state) if int(n[1:]) < batch_id]
-    last = changes.read_before(spark, state, batch_id, _max_kept) if before else None
-    changes.write(positions.kept_positions(times, last), path, batch_id)
-    kept = spark.read.parquet(f"{path}/folder={changes.batch_folder(batch_id)}")
-    changes.write(_max_kept(kept.select("shard_id", F.col("ts").alias("last_kept"))), state, batch_id)
-
-
-def _merge_hours(table: Table, parsed: DataFrame) -> changes.Reduce:
-    """Merge without the hours that are expired when the batch arrived.
+def _merge_of(table: Table, parsed: DataFrame) -> changes.Reduce:
+    """The merge of a fold; where rows expire, without those that had expired when the batch arrived.
 
     A record whose arrival lies ahead of the clock of this job moves nothing beyond that clock.
     """
-    arrived = parsed.agg(F.max("arrival_ms")).first()[0]
+    arrived = parsed.agg(F.max("arrival_ms")).first()[0] if table.purge else None
     if arrived is None:
-        return table.merge
-    now = min(arrived, int(time.time() * 1000))
-    return lambda rows: _unexpired(table.merge(rows), now)
+        return table.reduce
+    hour = min(arrived, int(time.time() * 1000)) // HOUR_MS
+    return lambda rows: table.purge(rows, hour)
 
 
 def _start(
@@ -151,30 +138,23 @@ def _start(
     out: str,
     checkpoint: str,
     message,
-    tables: dict[str, Table],
-    times: tuple[str, Callable[[DataFrame], DataFrame]] | None,
+    chosen: dict[str, Table],
     trigger: dict | None,
     fold_every: int,
 ) -> StreamingQuery:
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folds = batch_id > 0 and batch_id % fold_every == 0
-        parsed = decode.parse(batch, message)
+        # Only a dead letter needs its payload after the parse.
+        parsed = decode.parse(batch, message).withColumn("payload", F.when(F.col("malformed"), F.col("payload")))
 
         def write_table(name: str) -> None:
-            table, path = tables[name], f"{out}/{name}"
-            changes.write(table.batch_rows(parsed, batch_id), path, batch_id)
-            if table.reduce and folds:
-                merge = _merge_hours(table, parsed) if name in HOUR_TABLES else table.merge
-                changes.fold(spark, path, batch_id - 1, merge)
-
-        def write_positions() -> None:
-            path = f"{out}/{times[0]}"
-            _write_positions(times[1](parsed), path, batch_id)
+            table, path = chosen[name], f"{out}/{name}"
+            changes.write(table.rows(parsed), path, batch_id)
             if folds:
-                changes.fold(spark, f"{path}_last", batch_id - 1, _max_kept)
+                changes.fold(spark, path, batch_id - 1, _merge_of(table, parsed))
 
-        writes = [partial(write_table, name) for name in tables] + ([write_positions] if times else [])
+        writes = [partial(write_table, name) for name in chosen]
         if len(writes) > 1:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -194,8 +174,9 @@ def _start(
     )
 
 
-def _chosen(tables: dict[str, Table], names: Iterable[str] | None) -> dict[str, Table]:
-    return tables if names is None else {n: tables[n] for n in names if n in tables}
+def _chosen(known: dict[str, Table], names: Iterable[str] | None) -> dict[str, Table]:
+    names = set(known) - set(HOUR_TABLES) if names is None else set(names)
+    return {n: t for n, t in known.items() if n in names}
 
 
 def start_sense(
@@ -207,18 +188,7 @@ def start_sense(
     fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Feed the sense tables below ``out``; ``only`` names a subset of them."""
-    names = None if only is None else list(only)
-    times = (SENSE_POSITIONS, _from_messages(positions.sense_times))
-    return _start(
-        raw,
-        out,
-        checkpoint,
-        schemas.SENSE_MESSAGE,
-        _chosen(SENSE_TABLES, names),
-        times if names is None or SENSE_POSITIONS in names else None,
-        trigger,
-        fold_every,
-    )
+    return _start(raw, out, checkpoint, schemas.SENSE_MESSAGE, _chosen(SENSE_TABLES, only), trigger, fold_every)
 
 
 def start_pill(
@@ -229,24 +199,30 @@ def start_pill(
     trigger: dict | None = None,
     fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    names = None if only is None else list(only)
-    times = (PILL_POSITIONS, _from_readings(positions.pill_times))
-    return _start(
-        raw,
-        out,
-        checkpoint,
-        schemas.PILL_MESSAGE,
-        _chosen(PILL_TABLES, names),
-        times if names is None or PILL_POSITIONS in names else None,
-        trigger,
-        fold_every,
-    )
+    return _start(raw, out, checkpoint, schemas.PILL_MESSAGE, _chosen(PILL_TABLES, only), trigger, fold_every)
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
     """Current content of a table fed by either job."""
-    table = {**SENSE_TABLES, **PILL_TABLES}.get(name)
-    return changes.read(spark, f"{out}/{name}", table.current if table else None)
+    table = {**SENSE_TABLES, **PILL_TABLES}[name]
+    return table.view(changes.read(spark, f"{out}/{name}", table.reduce))
+
+
+def live_hours(spark: SparkSession, out: str, name: str, as_of_ms: int) -> DataFrame:
+    """(hour_start, device_id) of the hourly sets that live at ``as_of_ms``, from ``sense_rings`` or ``pill_rings``."""
+    return devices.ring_hours(read_table(spark, out, name), as_of_ms)
+
+
+def publish_positions(spark: SparkSession, out: str, name: str, stream: str, table: str) -> None:
+    """Write the position index of a stream to ``table``, which is created when it is missing.
+
+    A late record can move what is kept before it, so the stream's rows are replaced as a whole; they are sampled, a row for five minutes.
+    """
+    tables.create_checkpoint_table(spark, table)
+    track = positions.checkpoint_track(read_table(spark, out, name), stream)
+    others = spark.table(table).where(~F.col("stream_shard_id").startswith(f"{stream}:"))
+    kept = tables.stored(others.unionByName(track), "positions")
+    kept.write.insertInto(table, overwrite=True)
 
 
 def minute_events(spark: SparkSession, out: str) -> DataFrame:

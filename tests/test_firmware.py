@@ -64,7 +64,7 @@ def test_version_history_is_kept(spark):
     )
     assert rows(firmware.middle_firmware_devices(updates)) == [("m1", "a", 90), ("m2", "a", 20)]
     assert rows(firmware.top_firmware_devices(updates)) == [("1.1", "a", 20)]
-    assert rows(firmware.top_firmwares_seen(updates)) == [("1.1", 90)]
+    assert rows(firmware.top_firmwares_seen(updates)) == [("1.1", 20)]
 
 
 def test_views_of_the_state_equal_the_direct_tables(spark):

@@ -56,3 +56,25 @@ def test_rates_roll_up(spark):
         (5, 0, 9, 0.03),
         (5, 300_000, 9, 0.03),
     ]
+
+
+def test_sketches_of_thousands(spark):
+    """Estimates stay within five standard errors for groups of thousands, rolled up over shards and periods, merged twice."""
+    low = spark.range(60_000).selectExpr(
+        "concat('s', id % 3) AS shard_id", "(id % 48) * 3600000 AS arrival_ms",
+        "concat('d', id % 20000) AS device_id", "IF(id % 5 = 0, 99999, 60) AS uptime_seconds",
+    )
+    parts = [metrics.low_uptime_sketches(low.where(f"arrival_ms % 7 {op} 3")) for op in ("<", ">=", "<")]
+    merged = metrics.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    found = {(r.shard_id, r.period_hours, r.period_start): r.devices for r in metrics.sketched_devices(merged).collect()}
+    exact = {}
+    for r in low.where("uptime_seconds <= 3600").collect():
+        for shard in (r.shard_id, "all"):
+            for hours in metrics.SKETCH_PERIODS:
+                start = r.arrival_ms - r.arrival_ms % (hours * 3_600_000)
+                exact.setdefault((shard, hours, start), set()).add(r.device_id)
+    assert set(found) == set(exact)
+    assert max(len(d) for d in exact.values()) >= 16_000
+    assert all(abs(found[k] - len(d)) <= max(1, 0.08 * len(d)) for k, d in exact.items())
+    thousands = [abs(found[k] - len(d)) / len(d) for k, d in exact.items() if len(d) >= 1000]
+    assert len(thousands) >= 10 and sum(thousands) / len(thousands) < 0.03

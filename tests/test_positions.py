@@ -11,9 +11,9 @@ PERIOD, AHEAD, DAY = 300_000, 3_600_000, 86_400_000
 TIMES = "shard_id string, sequence_number string, position int, clock_ms long, ts long"
 
 
-def plain_fold(records, last=0):
+def plain_fold(records):
     """The rule, one record after the other, for one shard."""
-    kept = []
+    kept, last = [], 0
     for sequence, _, clock, ts in sorted(records, key=lambda r: (len(r[0]), r[0], r[1])):
         if ts > last + PERIOD and ts < clock + AHEAD:
             last = ts
@@ -21,14 +21,14 @@ def plain_fold(records, last=0):
     return kept
 
 
-def kept(spark, shards, last=None):
+def kept(spark, shards):
     data = [(s, *r) for s, records in shards.items() for r in records]
-    return rows(positions.kept_positions(spark.createDataFrame(data, TIMES), last))
+    return rows(positions.kept_positions(spark.createDataFrame(data, TIMES)))
 
 
-def expected(shards, last=None):
+def expected(shards):
     return sorted(
-        ((s, ts, n) for s, records in shards.items() for ts, n in plain_fold(records, (last or {}).get(s, 0))),
+        ((s, ts, n) for s, records in shards.items() for ts, n in plain_fold(records)),
         key=lambda r: [(False, str(v)) for v in r],
     )
 
@@ -57,14 +57,20 @@ def test_equals_plain_fold_on_any_order(spark, seconds):
     assert kept(spark, shards) == expected(shards)
 
 
-def test_goes_on_from_an_earlier_batch(spark):
+def test_staircases_of_batches_merge_in_any_order(spark):
+    """Whichever batch a record is in, merged once or twice: the fold over the merged state equals the fold over all records."""
     rng = random.Random(11)
     records = walk(rng, 600)
-    first, second = {"s": records[:300]}, {"s": records[300:], "new": walk(rng, 40)}
-    last = {"s": max(ts for ts, _ in plain_fold(first["s"]))}
-    state = spark.createDataFrame(list(last.items()), "shard_id string, last_kept long")
-    assert kept(spark, second, state) == expected(second, last)
-    assert sorted(plain_fold(records)) == sorted(plain_fold(first["s"]) + plain_fold(second["s"], last["s"]))
+    for parts in (2, 5):
+        dealt = [[] for _ in range(parts)]
+        for record in records:
+            dealt[rng.randrange(parts)].append(record)
+        states = [positions.candidates(spark.createDataFrame([("s", *r) for r in part], TIMES)) for part in reversed(dealt)]
+        merged = states[0]
+        for state in [*states[1:], states[0]]:
+            merged = positions.reduce_candidates(merged.unionByName(state))
+        assert rows(positions.thinned(merged)) == expected({"s": records})
+        assert merged.count() < len(records)
 
 
 def test_bounds_are_strict(spark):

@@ -6,12 +6,13 @@ from helpers import message, raw, rows
 from pyspark.sql import functions as F
 
 from fleetmeter import schemas
-from fleetmeter.functions.clock import MINUTE_MS
+from fleetmeter.functions.arrival import arrival
+from fleetmeter.functions.clock import HOUR_MS, MINUTE_MS
 from fleetmeter.operators import devices, firmware, metrics, positions, quality
 from fleetmeter.sources import decode, derived
 from fleetmeter.sources.raw import read_batch, read_stream
 from fleetmeter.sources.tables import create_checkpoint_table, read_decoded, scratch_dir, write_decoded
-from fleetmeter.streaming import changes, jobs, native
+from fleetmeter.streaming import changes, jobs
 
 NOW = {"availableNow": True}
 SLICES = 4
@@ -34,7 +35,7 @@ def streams(spark, tmp_path_factory):
 def _by_arrival():
     from pyspark.sql import Window
 
-    return Window.orderBy(F.col("sequence_number").cast("long"))
+    return Window.orderBy(arrival())
 
 
 def run(start, spark, path, out, checkpoint, **kwargs):
@@ -46,14 +47,14 @@ def run(start, spark, path, out, checkpoint, **kwargs):
 @pytest.fixture(scope="module")
 def sense_out(spark, streams, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
-    run(jobs.start_sense, spark, streams["sense"], out, str(tmp_path_factory.mktemp("cp")))
+    run(jobs.start_sense, spark, streams["sense"], out, str(tmp_path_factory.mktemp("cp")), only=jobs.SENSE_TABLES)
     return out
 
 
 @pytest.fixture(scope="module")
 def pill_out(spark, streams, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
-    run(jobs.start_pill, spark, streams["pill"], out, str(tmp_path_factory.mktemp("cp")))
+    run(jobs.start_pill, spark, streams["pill"], out, str(tmp_path_factory.mktemp("cp")), only=jobs.PILL_TABLES)
     return out
 
 
@@ -75,9 +76,33 @@ def unexpired(hours):
     return hours.where(F.col("hour_start") + 48 * 3_600_000 > last)
 
 
+def last_hour(rows):
+    return rows.agg(F.max("arrival_ms")).first()[0] // HOUR_MS
+
+
+def rings(rows, out, name):
+    return devices.turn_rings(devices.hour_rings(rows, "arrival_ms"), last_hour(rows))
+
+
+def turned(found):
+    return devices.turn_rings(found, found.agg(F.max("top_hour")).first()[0])
+
+
+def test_live_hours_equal_batch_at_any_time(spark, sense_out, sense):
+    """One row per device; what is read as of an hour holds no expired member."""
+    stored, hours = jobs.read_table(spark, sense_out, "sense_rings"), devices.active_hours(sense[1], "arrival_ms")
+    last = last_hour(sense[1])
+    assert turned(stored).count() == turned(stored).select("device_id").distinct().count()
+    for as_of in (last * HOUR_MS, last * HOUR_MS + 1, (last + 20) * HOUR_MS + 1234, (last + 47) * HOUR_MS, (last + 48) * HOUR_MS):
+        live = devices.live(devices.with_hour_key(hours), as_of // 1000).select("hour_key", "device_id")
+        found = devices.with_hour_key(jobs.live_hours(spark, sense_out, "sense_rings", as_of)).select("hour_key", "device_id")
+        assert rows(found) == rows(live), as_of
+    assert live.count() == 0
+
+
 def test_expired_hours_leave_the_store(spark, sense_out, sense):
     stored = jobs.read_table(spark, sense_out, "sense_hours")
-    everything = devices.active_hours(sense[1], "received_at")
+    everything = devices.active_hours(sense[1], "arrival_ms")
     assert 0 < stored.count() < everything.count()
     assert stored.join(everything, ["hour_start", "device_id"], "left_anti").count() == 0
 
@@ -88,16 +113,22 @@ def test_sense_tables_equal_batch(spark, sense_out, sense):
         "sense_dead_letters": decode.dead_letters(parsed),
         "sense_state": devices.sense_state(messages),
         "firmware_versions": firmware.version_state(firmware.sense_firmware(messages)),
-        "sense_hours": unexpired(devices.active_hours(messages, "received_at")),
+        "sense_hours": unexpired(devices.active_hours(messages, "arrival_ms")),
+        "sense_rings": rings(messages, sense_out, "sense_rings"),
         "low_uptime": metrics.low_uptime_first(messages),
+        "low_uptime_sketches": metrics.low_uptime_sketches(messages),
         "uptime_histogram": metrics.uptime_histogram(messages),
         "bad_sensor_events": quality.bad_sensor_events(messages),
         "sense_minutes": metrics.sense_meters(parsed, MINUTE_MS),
+        jobs.SENSE_POSITIONS: positions.kept_positions(positions.sense_times(messages)),
     }
     assert set(expected) == set(jobs.SENSE_TABLES)
     for name, table in expected.items():
         found = jobs.read_table(spark, sense_out, name)
         found = unexpired(found) if name in jobs.HOUR_TABLES else found
+        found = turned(found) if name == "sense_rings" else found
+        if name == "low_uptime_sketches":
+            found, table = metrics.sketched_devices(found), metrics.sketched_devices(table)
         columns = sorted(table.columns)
         assert sorted(found.columns) == columns, name
         assert rows(found, *columns) == rows(table, *columns), name
@@ -110,21 +141,27 @@ def test_pill_tables_equal_batch(spark, pill_out, pill):
         "pill_state": devices.pill_state(readings),
         "pill_hours": unexpired(devices.active_hours(readings, "arrival_ms")),
         "pill_minutes": metrics.pill_meters(parsed, MINUTE_MS),
+        "pill_rings": rings(readings, pill_out, "pill_rings"),
+        jobs.PILL_POSITIONS: positions.kept_positions(positions.pill_times(readings)),
     }
     assert set(expected) == set(jobs.PILL_TABLES)
     for name, table in expected.items():
         found = jobs.read_table(spark, pill_out, name)
         found = unexpired(found) if name in jobs.HOUR_TABLES else found
+        found = turned(found) if name == "pill_rings" else found
         columns = sorted(table.columns)
         assert rows(found, *columns) == rows(table, *columns), name
 
 
-def test_positions_equal_batch(spark, sense_out, sense, pill_out, pill):
-    columns = ["shard_id", "ts", "sequence_number"]
-    batch = positions.kept_positions(positions.sense_times(sense[1]))
-    assert rows(jobs.read_table(spark, sense_out, jobs.SENSE_POSITIONS), *columns) == rows(batch, *columns)
-    batch = positions.kept_positions(positions.pill_times(pill[1]))
-    assert rows(jobs.read_table(spark, pill_out, jobs.PILL_POSITIONS), *columns) == rows(batch, *columns)
+def test_positions_are_published(spark, sense_out, sense, pill_out, pill):
+    jobs.publish_positions(spark, sense_out, jobs.SENSE_POSITIONS, "senses", "published")
+    jobs.publish_positions(spark, pill_out, jobs.PILL_POSITIONS, "pills", "published")
+    jobs.publish_positions(spark, sense_out, jobs.SENSE_POSITIONS, "senses", "published")
+    batch = positions.checkpoint_track(positions.kept_positions(positions.sense_times(sense[1])), "senses").unionByName(
+        positions.checkpoint_track(positions.kept_positions(positions.pill_times(pill[1])), "pills")
+    )
+    assert rows(spark.table("published")) == rows(batch)
+    spark.sql("DROP TABLE published")
 
 
 def test_folders_are_folded(spark, sense_out):
@@ -199,7 +236,7 @@ def test_changes_repeat_and_fold(spark, tmp_path):
     changes.write(frame(("c", 4)), path, 2)
     want = [("a", 3), ("b", 2), ("c", 4)]
     assert rows(changes.read(spark, path, reduce), "k", "v") == want
-    assert rows(changes.read_before(spark, path, 2, reduce), "k", "v") == want[:2]
+    assert changes.live(spark, path, 1) == [changes.batch_folder(0), changes.batch_folder(1)]
     changes.fold(spark, path, 1, reduce)
     assert rows(changes.read(spark, path, reduce), "k", "v") == want
     changes.write(frame(("b", 7)), path, 3)
@@ -211,6 +248,23 @@ def test_changes_repeat_and_fold(spark, tmp_path):
     assert rows(changes.read(spark, path, reduce), "k", "v") == [("a", 3), ("b", 7), ("c", 4)]
 
 
+def test_folds_add_up(spark, tmp_path):
+    """A reduction that sums counts every row once, before, during and after a fold, and folded rows are as few as their keys."""
+    path = str(tmp_path / "t")
+
+    def add(table):
+        return table.groupBy("k").agg(F.sum("v").alias("v"))
+
+    for batch in range(9):
+        changes.write(spark.createDataFrame([("a", 1), ("b", batch)], "k string, v long"), path, batch)
+        if batch % 3 == 2:
+            changes.fold(spark, path, batch - 1, add)
+            changes.fold(spark, path, batch - 1, add)
+        assert rows(changes.read(spark, path, add), "k", "v") == [("a", batch + 1), ("b", sum(range(batch + 1)))]
+    folded = [n for n in changes.live(spark, path) if n.startswith("f")]
+    assert len(folded) == 1 and spark.read.parquet(f"{path}/folder={folded[0]}").count() == 2
+
+
 def test_interrupted_fold_loses_nothing(spark, tmp_path):
     """A fold that failed, or whose driver was lost before the commit, is done again from its sources."""
     path = str(tmp_path / "t")
@@ -270,40 +324,6 @@ def test_native_update_mode(spark, streams, sense, tmp_path):
     assert rows(changes.read(spark, path, latest), *columns) == rows(devices.sense_state(sense[1]), *columns)
 
 
-def append(df, path, checkpoint):
-    query = (
-        df.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**NOW)
-        .start()
-    )
-    query.awaitTermination()
-    return path
-
-
-def test_native_distinct_sets(spark, streams, sense, tmp_path):
-    def stream():
-        return decode.decode_sense(read_stream(spark, streams["sense"], max_files=1))
-
-    hours = append(native.hourly_active(stream(), "received_at"), str(tmp_path / "h"), str(tmp_path / "hc"))
-    found = spark.read.parquet(hours).select(F.unix_millis("hour").alias("hour_start"), "device_id")
-    assert rows(found) == rows(devices.active_hours(sense[1], "received_at"))
-    low = append(native.low_uptime(stream()), str(tmp_path / "l"), str(tmp_path / "lc"))
-    found = spark.read.parquet(low).select("shard_id", F.unix_millis("hour").alias("hour_start"), "device_id")
-    assert rows(found) == rows(metrics.low_uptime_first(sense[1]).drop("first_ms"))
-
-
-def test_native_window_counts(spark, streams, tmp_path):
-    source = read_stream(spark, streams["sense"], max_files=1)
-    path = append(native.message_counts(source, "5 minutes", "1 hour"), str(tmp_path / "m"), str(tmp_path / "mc"))
-    closed = spark.read.parquet(path)
-    last = closed.agg(F.max("window_start")).first()[0]
-    batch = metrics.pill_meters(read_batch(spark, streams["sense"]), 5 * MINUTE_MS).where(F.col("window_start") <= last)
-    assert rows(closed, "window_start", "events") == rows(batch, "window_start", "events")
-
-
 def test_start_position_skips_older_records(spark, tmp_path):
     path = str(tmp_path / "in")
     raw(spark, message("old"), arrival_ms=1_000).unionByName(raw(spark, message("new"), arrival_ms=2_000)).write.parquet(path)
