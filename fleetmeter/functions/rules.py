@@ -39,14 +39,22 @@ METERS = (
 )
 
 
-def value(rule: Rule, point: str = "point") -> Column:
-    column = F.col(f"{point}.{rule.field}")
+def _part(point: str | Column, field: str) -> Column:
+    """A field of a data point, which is a column or the name of one."""
+    column = F.col(point) if isinstance(point, str) else point
+    for name in field.split("."):
+        column = column[name]
+    return column
+
+
+def value(rule: Rule, point: str | Column = "point") -> Column:
+    column = _part(point, rule.field)
     if rule.field in ("light", "light_sensor.uv_count"):
         return F.coalesce(column, F.lit(0))
     return column
 
 
-def breaks(rule: Rule, point: str = "point") -> Column:
+def breaks(rule: Rule, point: str | Column = "point") -> Column:
     """True when the point has the reading and it is outside the threshold; never null.
 
     A light reading has no presence mark of its own: the newer hardware, known by its light
@@ -54,7 +62,7 @@ def breaks(rule: Rule, point: str = "point") -> Column:
     """
     reading = value(rule, point)
     outside = reading < rule.threshold if rule.compare == "<" else reading > rule.threshold
-    sensor = F.col(f"{point}.light_sensor")
+    sensor = _part(point, "light_sensor")
     if rule.label in ("uv", "onefivelux"):
         outside = sensor.isNotNull() & outside
     elif rule.label == "onelux":

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,6 +214,34 @@ def included(names: Iterable[str], include: Iterable[str] | None) -> list[str]:
     return [n for n in names if any(p.search(n) for p in patterns)]
 
 
+REPORTED = (*(f"sense.{n}" for n in SENSE_METERS), "sense.low-uptime", UPTIME_HISTOGRAM, "pill.messages-processed")
+
+
+def check_interval(interval_seconds: int) -> None:
+    shortest, longest = REPORT_INTERVAL_SECONDS
+    if not shortest <= interval_seconds <= longest:
+        raise ValueError(f"reporting interval must be {shortest} to {longest} seconds")
+
+
+def reported(events: DataFrame, histogram: DataFrame | None, interval_seconds: int) -> DataFrame:
+    """(metric, window_start, value) from meter counts (metric, window_start, events) and the uptimes (window_start, days, n)."""
+    pairs = F.array(
+        F.struct(F.concat("metric", F.lit(".count")).alias("metric"), F.col("events").cast("double").alias("value")),
+        F.struct(
+            F.concat("metric", F.lit(".rate")).alias("metric"), F.round(F.col("events") / interval_seconds, 6).alias("value")
+        ),
+    )
+    report = events.select("window_start", F.inline(pairs)).select("metric", "window_start", "value")
+    if histogram is None:
+        return report
+    columns = {"min": "min_days", "max": "max_days", "mean": "mean_days", **{p: p for p in QUANTILES}}
+    wide = distribution(histogram, "window_start").select(
+        "window_start", *[F.col(c).cast("double").alias(f"{UPTIME_HISTOGRAM}.{n}") for n, c in columns.items()]
+    )
+    names = [f"{UPTIME_HISTOGRAM}.{n}" for n in columns]
+    return report.unionByName(unpivot(wide, ["window_start"], names, "metric", "value").select("metric", "window_start", "value"))
+
+
 def metrics_report(
     sense_parsed: DataFrame,
     sense_messages: DataFrame,
@@ -226,13 +255,9 @@ def metrics_report(
     its statistics. The include list is applied to the metric names before the plan is built, so
     an excluded metric is not computed.
     """
-    shortest, longest = REPORT_INTERVAL_SECONDS
-    if not shortest <= interval_seconds <= longest:
-        raise ValueError(f"reporting interval must be {shortest} to {longest} seconds")
+    check_interval(interval_seconds)
     width = interval_seconds * 1000
-    all_names = [f"sense.{n}" for n in SENSE_METERS] + ["sense.low-uptime", UPTIME_HISTOGRAM, "pill.messages-processed"]
-    chosen = included(all_names, include)
-
+    chosen = included(REPORTED, include)
     parts = []
     counted = [n for n in _named(chosen, "sense.") if n in SENSE_METERS]
     if counted:
@@ -241,35 +266,10 @@ def metrics_report(
         parts.append(low_uptime_meter(low_uptime_first(sense_messages), width))
     if "pill.messages-processed" in chosen:
         parts.append(pill_meters(pill_raw, width))
-    reports = [
-        p.select(
-            "window_start",
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.concat("metric", F.lit(".count")).alias("metric"), F.col("events").cast("double").alias("value")
-                    ),
-                    F.struct(
-                        F.concat("metric", F.lit(".rate")).alias("metric"),
-                        F.round(F.col("events") / interval_seconds, 6).alias("value"),
-                    ),
-                )
-            ),
-        ).select("metric", "window_start", "value")
-        for p in parts
-    ]
+    histogram = None
     if UPTIME_HISTOGRAM in chosen:
         bucket = clock.floor_ms(F.col("arrival_ms"), width).alias("window_start")
-        stats = distribution(uptime_histogram(sense_messages.withColumn("window_start", bucket), "window_start"), "window_start")
-        columns = {"min": "min_days", "max": "max_days", "mean": "mean_days", **{p: p for p in QUANTILES}}
-        wide = stats.select(
-            "window_start", *[F.col(c).cast("double").alias(f"{UPTIME_HISTOGRAM}.{n}") for n, c in columns.items()]
-        )
-        names = [f"{UPTIME_HISTOGRAM}.{n}" for n in columns]
-        reports.append(unpivot(wide, ["window_start"], names, "metric", "value").select("metric", "window_start", "value"))
-    if not reports:
-        return sense_parsed.sparkSession.createDataFrame([], "metric string, window_start long, value double")
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+        histogram = uptime_histogram(sense_messages.withColumn("window_start", bucket), "window_start")
+    none = sense_parsed.sparkSession.createDataFrame([], "metric string, window_start long, events long")
+    events = reduce(DataFrame.unionByName, parts) if parts else none
+    return reported(events, histogram, interval_seconds)

@@ -10,16 +10,12 @@ from pyspark.sql import functions as F
 from fleetmeter import schemas
 from fleetmeter.functions.clock import MINUTE_MS
 from fleetmeter.operators import devices, export, firmware, metrics, positions, quality
-from fleetmeter.plans.streams import PILL_STREAM, SENSE_STREAM, STREAMS
+from fleetmeter.plans.streams import PILL_STREAM, REPORT_INCLUDE, SENSE_STREAM, STREAMS
 from fleetmeter.sources import decode, derived
 from fleetmeter.sources.tables import decode_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The include list of the registered report.
-REPORT_INCLUDE = ("messages-processed", "wave", "^sense\\.low-", "uptime-days")
-
-
 def _sense_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.parse(derived.sense_raw(spark, sf_dir), schemas.SENSE_MESSAGE)
 
