@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetmeter import schemas
 from fleetmeter.functions.clock import MINUTE_MS
-from fleetmeter.operators import devices, export, firmware, metrics, positions, quality
+from fleetmeter.operators import devices, export, firmware, metrics, periods, positions, quality
 from fleetmeter.plans.streams import PILL_STREAM, REPORT_INCLUDE, SENSE_STREAM, STREAMS
 from fleetmeter.sources import decode, derived
 from fleetmeter.sources.tables import decode_once
@@ -58,6 +58,11 @@ def _live(hourly: Query) -> Query:
     return query
 
 
+def _low_uptime_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrivals = derived.sense_raw(spark, sf_dir).select("shard_id", "arrival_ms")
+    return periods.low_uptime_devices_chained(arrivals, _messages(spark, sf_dir))
+
+
 def _meter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = decode_once(_sense_parsed(spark, sf_dir), "meter_rates")
     minutes = metrics.meter_events(
@@ -124,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "wave_counts": _sense(metrics.wave_counts),
     "low_uptime_devices": _sense(metrics.low_uptime_devices),
     "low_uptime_devices_approx": _sense(metrics.low_uptime_devices_approx),
+    "low_uptime_devices_chained": _low_uptime_chained,
     "uptime_days": _sense(metrics.uptime_days),
     "meter_rates": _meter_rates,
     "metrics_report": _metrics_report,

@@ -316,6 +316,16 @@ SELECT s.shard_id, w.period_hours, arrival_ms // (period_hours * 3600000) * (per
 FROM (SELECT shard_id, device_id, arrival_ms FROM sm WHERE uptime <= 3600
       UNION ALL SELECT 'all', device_id, arrival_ms FROM sm WHERE uptime <= 3600) s,
      (VALUES (1::BIGINT), (24), (168)) w(period_hours) GROUP BY ALL""",
+    "low_uptime_devices_chained": """, chain AS (
+  SELECT shard_id, min(arrival_ms) AS s FROM sr GROUP BY shard_id
+  UNION ALL
+  SELECT shard_id, s FROM (
+    SELECT c.shard_id, (SELECT min(a.arrival_ms) FROM sr a WHERE a.shard_id = c.shard_id AND a.arrival_ms > c.s + 3600000) AS s FROM chain c
+  ) WHERE s IS NOT NULL
+)
+SELECT c.shard_id, c.s AS period_start, count(DISTINCT sm.device_id) AS devices
+FROM chain c JOIN sm ON sm.shard_id = c.shard_id AND sm.arrival_ms BETWEEN c.s AND c.s + 3600000
+WHERE sm.uptime <= 3600 GROUP BY ALL""",
     "uptime_days": f"""
 SELECT count(*) AS messages, CAST(min(days) AS INTEGER) AS min_days, CAST(max(days) AS INTEGER) AS max_days,{_UPTIME_STATS}
 FROM (SELECT CAST(uptime // 86400 AS DOUBLE) AS days FROM sm)""",

@@ -14,28 +14,31 @@ from pyspark.sql import types as T
 from fleetmeter import schemas
 
 _CORRUPT = "_corrupt"
+_MARK = "_mark"
 
 
 def parse(raw: DataFrame, message: T.StructType) -> DataFrame:
     """Raw columns plus ``message`` (struct) and ``malformed`` (boolean) for every record.
 
     A record is malformed unless its payload is exactly one JSON object whose fields have the right
-    types. The payload is parsed as a member of an object that also holds the payload's hash and no
-    third key, so neither text after the message nor a second message goes unnoticed.
+    types. The payload is parsed once, as the middle one of three array elements; the others hold the payload's
+    hash, so neither text after the message nor a second message goes unnoticed.
     The parsed struct passes through a one-element ``inline`` so that a filter on the result
     is not pushed below the parser, which would read every payload twice.
     """
     text = F.col("payload").cast("string")
-    wrapped = F.concat(F.lit('{"m":'), text, F.lit(',"z":'), F.xxhash64(text).cast("string"), F.lit("}"))
-    outer = T.StructType(
-        [T.StructField("m", message), T.StructField("z", T.LongType()), T.StructField(_CORRUPT, T.StringType())]
-    )
+    mark = F.concat(F.lit(f'{{"{_MARK}":'), F.xxhash64(text).cast("string"), F.lit("}"))
+    wrapped = F.concat(F.lit('{"m":['), mark, F.lit(","), text, F.lit(","), mark, F.lit("]}"))
+    element = T.StructType([*message.fields, T.StructField(_MARK, T.LongType())])
+    outer = T.StructType([T.StructField("m", T.ArrayType(element)), T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(wrapped, outer, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    before, body, after = (F.get("parsed.m", F.lit(i)) for i in range(3))
+    marked = (before[_MARK] == F.xxhash64(text)) & (after[_MARK] == F.xxhash64(text))
+    good = (F.size("parsed.m") == 3) & marked & body.isNotNull() & F.col(f"parsed.{_CORRUPT}").isNull()
     columns = ["shard_id", "sequence_number", "arrival_ms", "payload"]
-    whole = (F.size(F.json_object_keys(wrapped)) == 2) & (F.col("parsed.z") == F.xxhash64(text))
-    good = F.col("parsed.m").isNotNull() & F.col(f"parsed.{_CORRUPT}").isNull() & whole
+    fields = F.struct(*[body[name].alias(name) for name in message.names])
     return raw.select(*columns, F.inline(F.array(F.struct(parsed.alias("parsed"))))).select(
-        *columns, F.col("parsed.m").alias("message"), (~F.coalesce(good, F.lit(False))).alias("malformed")
+        *columns, F.when(body.isNotNull(), fields).alias("message"), (~F.coalesce(good, F.lit(False))).alias("malformed")
     )
 
 

@@ -74,9 +74,11 @@ def _messages(rows: DataFrame, parts: dict[str, str]) -> DataFrame:
 
     The parts are computed before the shuffle, in generated code; a lambda over the gathered array
     would be interpreted for every event. The explicit shuffle serves the grouping as well:
-    map-side lists would not shrink the rows. Its number of partitions is left to adaptive execution.
+    map-side lists would not shrink the rows. It names the session's number of partitions: the JSON that follows is work for all
+    cores, and adaptive execution would merge the partitions by their bytes.
     """
     keys = ["user_id", "day"]
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         rows.selectExpr(
             "user_id",
@@ -84,7 +86,7 @@ def _messages(rows: DataFrame, parts: dict[str, str]) -> DataFrame:
             "ms",
             "struct(event_id, k, event_type, " + ", ".join(f"{sql} AS {name}" for name, sql in parts.items()) + ") AS event",
         )
-        .repartition(*keys)
+        .repartition(partitions, *keys)
         .groupBy(*keys)
         .agg(F.max("ms").alias("arrival_ms"), F.sort_array(F.collect_list("event")).alias("events"))
         .withColumn("last", F.element_at("events", -1))

@@ -66,3 +66,10 @@ def test_a_payload_is_exactly_one_object(spark):
     parsed = decode.parse(raw(spark, *bad, good, f" {good} \n"), schemas.SENSE_MESSAGE)
     flags = [r["malformed"] for r in sorted(parsed.collect(), key=lambda r: int(r["sequence_number"]))]
     assert flags == [True] * len(bad) + [False] * 2
+
+
+def test_text_that_closes_the_wrapping_is_no_message(spark):
+    good = json.dumps(message("d"))
+    bad = [f'{good}],"m":[{good}', f'{good}],"m":[{{"_mark":0}},{good},{{"_mark":0}}', f"{good}]}}", f"{good},{good}", f"[{good}]"]
+    parsed = decode.parse(raw(spark, *bad, good), schemas.SENSE_MESSAGE)
+    assert rows(decode.sense_messages(parsed), "sequence_number") == [(str(len(bad) + 1),)]
