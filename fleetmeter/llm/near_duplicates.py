@@ -9,12 +9,14 @@ A process stops once its time is beyond all registers, so a document costs littl
 Texts with the same words are one node, however many there are. Nodes that share a band of registers meet, unless they
 are in one class by then. First all are paired with the band's hub, the node with the largest bands overall; a copied
 original is the hub of its copies. The pairs are verified on the whole bags, and links of a similarity of 0.8 or more
-join nodes to classes. Then come rounds: a band whose nodes are in several classes takes further hubs outside the
-largest of them, four times as many in each round, and they meet all nodes of other classes. A node that was a hub has
-met all it had to and leaves the band. It ends when no band holds nodes of two classes.
+join nodes to classes. The nodes of bands that hold several classes then meet by their rarest shingles: each occurrence
+of a shingle is a token, tokens have one order for all nodes, the rare ones first, and two bags of similarity 0.8 or more share one of the first
+fifth of their tokens, plus one. So of these nodes, all pairs of different classes that can be similar are compared, and documents that
+share a template, but not their rare shingles, never meet. The order comes from counts in a table of fixed size; which order it is changes
+the work and not the links.
 
 Two nodes of similarity 0.8 share any one band with probability 0.41, and 32 bands make it 1 - 5e-8 that they share one.
-Nodes that share a band are in one class or have been compared.
+Nodes that share a band are in one class or have a similarity below 0.8.
 
 Texts without words are copies of each other; texts of under five words have one shingle, all their words. A null text
 is empty. A class is named by its smallest id (null if it has none but null). Rows that repeat are in one class. An
@@ -24,8 +26,10 @@ empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -36,6 +40,8 @@ from fleetmeter.llm.common import Block, arrow_map, mix, slices, stored, text_by
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
+#: Size of the table of token counts, and the rows that it travels in.
+LEVEL_BITS, LEVEL_PARTS = 20, 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -163,24 +169,90 @@ def band_members(bands: DataFrame) -> DataFrame:
     return stored(members.drop("size").join(weight, "node"), "near-members")
 
 
-def hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """node and hub, distinct, and the hubs as rows (band, node)."""
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """node and hub, distinct: each member of a band with the one that the most others can meet."""
     hubs = members.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", F.col("hub.node").alias("hub"))
-    pairs = members.join(hubs, "band").where("node <> hub").select("node", "hub").distinct()
-    return pairs, hubs.withColumnRenamed("hub", "node")
+    return members.join(hubs, "band").where("node <> hub").select("node", "hub").distinct()
 
 
-def further_pairs(members: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
-    """The same of rows (band, node, weight, root), for about `many` hubs a band and nodes of other roots."""
-    classes = members.groupBy("band", "root").agg(F.count("*").alias("size"))
-    largest = classes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("largest")).select("band", F.col("largest.root").alias("largest"))
-    spare = members.join(largest, "band").where("root <> largest")
-    slot = F.pmod(F.xxhash64("node"), F.lit(many)).alias("slot")
-    hubs = spare.groupBy("band", slot).agg(F.max(F.struct("weight", "node", "root")).alias("hub"))
-    hubs = stored(hubs.select("band", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")), "near-hubs")
-    pairs = members.join(hubs, "band").where("root <> hub_root")
-    pairs = pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
-    return pairs, hubs.select("band", F.col("hub").alias("node"))
+def tokens_of(text: bytes) -> np.ndarray:
+    """A number for each occurrence of each shingle."""
+    _, key, weight = bags([text])
+    first = np.cumsum(weight) - weight
+    again = np.arange(int(weight.sum())) - np.repeat(first, weight)
+    return mix(np.repeat(key, weight) + again.astype(np.uint64) * _B)
+
+
+def token_levels(texts: DataFrame) -> np.ndarray:
+    """For each hash of a token, the logarithm of how many tokens of the texts have it. A table of fixed size."""
+
+    def count(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        total = np.zeros(1 << LEVEL_BITS, np.int64)
+        for batch in batches:
+            held, size = [], 0
+            for i, words in enumerate(batch.column(0).to_pylist(), 1):
+                held.append(tokens_of(unpack(words)))
+                size += len(held[-1])
+                if size > 1 << 20 or i == len(batch):
+                    place = (np.concatenate(held) >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)
+                    total += np.bincount(place, minlength=len(total))
+                    held, size = [], 0
+        if total.any():
+            parts = [zstandard.ZstdCompressor(level=1).compress(p.tobytes()) for p in total.reshape(LEVEL_PARTS, -1)]
+            salt = [int(total.sum()) % 64] * LEVEL_PARTS
+            arrays = [pa.array(range(LEVEL_PARTS), pa.int32()), pa.array(salt, pa.int32()), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["part", "salt", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor().decompress
+        total = sum(np.frombuffer(unpack(c), np.int64) for c in rows["counts"])
+        packed = zstandard.ZstdCompressor(level=1).compress(total.tobytes())
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "salt": [0], "counts": [packed]})
+
+    sums = texts.select("words").mapInArrow(count, "part int, salt int, counts binary")
+    for by in (["part", "salt"], ["part"]):
+        sums = sums.groupBy(*by).applyInPandas(add, "part int, salt int, counts binary")
+    levels = np.zeros((LEVEL_PARTS, (1 << LEVEL_BITS) // LEVEL_PARTS), np.uint8)
+    for r in sums.select("part", "counts").collect():
+        counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["counts"]), np.int64)
+        levels[r["part"]] = np.ceil(np.log2(counts + 1))
+    return levels.ravel()
+
+
+def prefix(text: bytes, levels: np.ndarray, similar: float = SIMILAR) -> tuple[np.ndarray, int]:
+    """The rarest tokens, of which a text as similar must have one in its own, and the number of all tokens."""
+    tokens = tokens_of(text)
+    take = len(tokens) - math.ceil(similar * len(tokens) - 1e-9) + 1
+    order = np.lexsort((tokens, levels[(tokens >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)]))
+    return tokens[order[:take]], len(tokens)
+
+
+def prefix_pairs(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """node and hub of texts (node, words, root) of different roots that share one of their rarest tokens."""
+    levels = token_levels(texts)
+
+    def make():
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [prefix(unpack(words), levels, similar) for words in batch.column("words").to_pylist()]
+            row = np.repeat(np.arange(len(found)), [len(t) for t, _ in found])
+            token = np.concatenate([t for t, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+            size = np.array([n for _, n in found], np.int64)[row]
+            arrays = [pa.array(token), batch.column("node").take(pa.array(row)), batch.column("root").take(pa.array(row)), pa.array(size)]
+            return pa.RecordBatch.from_arrays(arrays, ["token", "node", "root", "size"])
+
+        return work
+
+    rows = arrow_map(texts.select("node", "words", "root"), "token long, node binary, root binary, size long", make)
+    rows = stored(rows, "near-prefixes")
+    shared = rows.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
+    rows = stored(rows.join(shared, "token", "left_semi"), "near-rare")
+    other = rows.select("token", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("size").alias("hub_size"))
+    small, large = F.least("size", "hub_size"), F.greatest("size", "hub_size")
+    pairs = rows.join(other, "token").where("node < hub AND root <> hub_root").where(small >= F.lit(similar) * large - 1e-9)
+    return pairs.select("node", "hub").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -235,24 +307,14 @@ def connected(bands: DataFrame, docs: DataFrame) -> DataFrame:
     members = band_members(bands)
     texts = _texts(docs).join(members.select("node").distinct(), "node", "left_semi")
     texts = stored(texts.groupBy("node").agg(F.first("words").alias("words")), "near-texts")
-    pairs, hubs = hub_pairs(members)
-    met = pairs = stored(pairs, "near-pairs")
-    met = met.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub"))
-    root = components(verified(pairs, texts), "node", "hub")
-    many = 1
-    while True:
-        members = members.join(hubs, ["band", "node"], "left_anti").drop("root").join(root, "node", "left")
-        members = members.withColumn("root", F.coalesce("root", "node"))
-        mixed = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-        members = stored(members.join(mixed.select("band"), "band"), "near-members")
-        if members.isEmpty():
-            return root
-        pairs, hubs = further_pairs(members, many)
-        pairs = stored(pairs.join(met, ["node", "hub"], "left_anti"), "near-pairs")
-        links = stored(verified(pairs, texts), "near-verified")
-        if not links.isEmpty():
-            root = components(links.union(root.select("node", "root")), "node", "hub")
-        met, many = met.union(pairs), many * 4
+    pairs = stored(hub_pairs(members), "near-pairs")
+    root = stored(components(verified(pairs, texts), "node", "hub"), "near-roots")
+    members = members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("band")
+    mixed = members.join(mixed, "band", "left_semi").select("node", "root").distinct()
+    rare = prefix_pairs(stored(texts.join(mixed, "node"), "near-mixed"))
+    links = stored(verified(rare, texts), "near-verified")
+    return components(links.union(root.select("node", "root")), "node", "hub")
 
 
 def classes(docs: DataFrame) -> DataFrame:

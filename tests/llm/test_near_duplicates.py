@@ -119,3 +119,32 @@ def test_links_that_no_first_hub_sees(spark):
     want = brute(rows)
     assert len({c for _, c in want}) == 4
     assert sorted(((r.doc_id, r.class_id) for r in nd.classes(docs).collect()), key=str) == want
+
+
+def test_similar_texts_share_a_rare_token_whatever_the_order():
+    rng = np.random.default_rng(3)
+    for levels in (np.zeros(1 << nd.LEVEL_BITS, np.uint8), rng.integers(0, 30, 1 << nd.LEVEL_BITS).astype(np.uint8)):
+        met = 0
+        for _ in range(300):
+            words = [f"w{rng.integers(60)}" for _ in range(rng.integers(5, 200))] + ["same few words again now"] * int(rng.integers(0, 4))
+            other = list(words)
+            for _ in range(rng.integers(0, 5)):
+                other[rng.integers(len(other))] = f"v{rng.integers(9)}"
+            one, two = " ".join(words), " ".join(other[: len(other) - int(rng.integers(0, 2))])
+            if jaccard(bag(one), bag(two)) >= 0.8:
+                met += 1
+                assert np.intersect1d(nd.prefix(one.encode(), levels)[0], nd.prefix(two.encode(), levels)[0]).size
+        assert met > 50
+
+
+def test_texts_of_one_template_do_not_meet(spark):
+    """Two hundred of 270 words in common: pairs grow with the texts and not with their square."""
+    many = {}
+    for n in (100, 200, 400):
+        rng = random.Random(n)
+        template = [f"t{k}" for k in range(200)]
+        rows = [(bytes([i // 256, i % 256]), " ".join(template + [f"u{rng.randrange(10**9)}" for _ in range(70)]).encode()) for i in range(n)]
+        pack = nd.zstandard.ZstdCompressor(level=1).compress
+        texts = spark.createDataFrame([(i, pack(t), i) for i, t in rows], "node binary, words binary, root binary")
+        many[n] = nd.prefix_pairs(texts).count()
+    assert many[400] <= 4 * max(many[100], 25)
