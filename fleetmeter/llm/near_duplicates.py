@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmeter.llm.common import Block, arrow_map, mix, slices, stored, text_bytes, texts_of, words_of
@@ -41,7 +41,7 @@ SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Size of the table of token counts, and the rows that it travels in.
-LEVEL_BITS, LEVEL_PARTS = 20, 64
+LEVEL_BITS, LEVEL_PARTS = 22, 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -164,9 +164,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 def band_members(bands: DataFrame) -> DataFrame:
     """band, node and weight (the size of all bands of the node) where nodes share a band, of rows (band, node)."""
     shared = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(bands.join(shared, "band"), "near-shared")
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    return stored(members.drop("size").join(weight, "node"), "near-members")
+    weight = F.sum("size").over(Window.partitionBy("node")).alias("weight")  # of a node's bands
+    return stored(bands.join(shared, "band").select("band", "node", weight), "near-members")
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
@@ -194,7 +193,7 @@ def token_levels(texts: DataFrame) -> np.ndarray:
             for i, words in enumerate(batch.column(0).to_pylist(), 1):
                 held.append(tokens_of(unpack(words)))
                 size += len(held[-1])
-                if size > 1 << 20 or i == len(batch):
+                if size > 1 << LEVEL_BITS or i == len(batch):
                     place = (np.concatenate(held) >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)
                     total += np.bincount(place, minlength=len(total))
                     held, size = [], 0
