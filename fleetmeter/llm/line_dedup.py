@@ -82,7 +82,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = stored(removals(docs), "line-removals")
     lost = gone.withColumnRenamed("_id", "_lost_id").withColumnRenamed("_th", "_lost_th")
     same = F.col("_id").eqNullSafe(F.col("_lost_id")) & (F.col("_th") == F.col("_lost_th"))
-    again = _chunked(_keyed(docs).join(lost, same, "left").withColumn("_text", _text()))  # the text moves once, in _row
+    lost = lost.hint("shuffle_hash")  # one form at every size: texts move once, in _row, and are not sorted
+    again = _chunked(_keyed(docs).join(lost, same, "left").withColumn("_text", _text()))
     kept = F.filter("_chunks", lambda c: F.isnull("_gone") | ~F.array_contains(F.coalesce("_gone", F.array()), c["pos"]))
     again = again.withColumn("_stay", kept)
     pieces = F.transform("_stay", lambda c: c["chunk"])
