@@ -228,7 +228,8 @@ def prefix(text: bytes, levels: np.ndarray, similar: float = SIMILAR) -> tuple[n
 
 
 def prefix_pairs(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """node and hub of texts (node, words, root) of different roots that share one of their rarest tokens."""
+    """node and hub of texts (node, words, root) of different roots that share one of their rarest tokens, where what
+    follows it in the order of the tokens can still be common enough."""
     levels = token_levels(texts)
 
     def make():
@@ -239,18 +240,20 @@ def prefix_pairs(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
             row = np.repeat(np.arange(len(found)), [len(t) for t, _ in found])
             token = np.concatenate([t for t, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
             size = np.array([n for _, n in found], np.int64)[row]
-            arrays = [pa.array(token), batch.column("node").take(pa.array(row)), batch.column("root").take(pa.array(row)), pa.array(size)]
-            return pa.RecordBatch.from_arrays(arrays, ["token", "node", "root", "size"])
+            left = size - np.concatenate([np.arange(len(t)) for t, _ in found] or [np.zeros(0, np.int64)])
+            arrays = [pa.array(token), batch.column("node").take(pa.array(row)), batch.column("root").take(pa.array(row))]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(size), pa.array(left)], ["token", "node", "root", "size", "left"])
 
         return work
 
-    rows = arrow_map(texts.select("node", "words", "root"), "token long, node binary, root binary, size long", make)
+    rows = arrow_map(texts.select("node", "words", "root"), "token long, node binary, root binary, size long, left long", make)
     rows = stored(rows, "near-prefixes")
     shared = rows.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
     rows = stored(rows.join(shared, "token", "left_semi"), "near-rare")
-    other = rows.select("token", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("size").alias("hub_size"))
-    small, large = F.least("size", "hub_size"), F.greatest("size", "hub_size")
-    pairs = rows.join(other, "token").where("node < hub AND root <> hub_root").where(small >= F.lit(similar) * large - 1e-9)
+    other = rows.select("token", *(F.col(c).alias(h) for c, h in (("node", "hub"), ("root", "hub_root"), ("size", "hub_size"), ("left", "hub_left"))))
+    # all common tokens are at the first common one or after it, so that one passes for every similar pair
+    enough = F.least("left", "hub_left") * (1 + similar) >= similar * (F.col("size") + F.col("hub_size")) - 1e-6
+    pairs = rows.join(other, "token").where("node < hub AND root <> hub_root").where(enough)
     return pairs.select("node", "hub").distinct()
 
 
