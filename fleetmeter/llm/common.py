@@ -80,7 +80,8 @@ BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C1
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int, base: int, key: str) -> np.ndarray:
+def powers(n: int, base: int, key: str) -> np.ndarray:
+    """The first n powers of base; kept under `key`."""
     have = _POWERS.get(key)
     if have is None or len(have) < n:
         size = max(n, 2 * PASS_BYTES)
@@ -103,8 +104,8 @@ def runs_of(data: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     edge = np.flatnonzero(np.diff(gap[data], prepend=True, append=True))
     starts, ends = edge[0::2], edge[1::2]
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_HASH[data] * _powers(len(data), _BASE, "up"), out=total[1:])
-    raw = (total[ends] - total[starts]) * _powers(len(data), _INVERSE, "down")[starts]
+    np.cumsum(BYTE_HASH[data] * powers(len(data), _BASE, "up"), out=total[1:])
+    raw = (total[ends] - total[starts]) * powers(len(data), _INVERSE, "down")[starts]
     return starts, ends, mix(raw + (ends - starts).astype(np.uint64))
 
 

@@ -5,9 +5,9 @@ represented by an anchor, the least hash of the strings of `GRAM` bytes inside i
 content. A first Spark round finds the anchors that several blocks have, and the long strings (from an anchor to the
 second next, or a whole document) that an earlier document has; what lies inside those needs no second look, since the
 earliest occurrence of a string is never inside one. The rest, runs of strings around a shared anchor, go to the bucket
-of the anchor's hash. A bucket sorts the suffixes of its runs up to `WINDOW` bytes by multiplying prefixes and computes, for
-every suffix, the longest factor it shares with one of a smaller document: the previous and next smaller document in
-suffix order. Later copies go, the first stays.
+of the anchor's hash. A bucket leaves out the strings whose 64-bit name no other has, sorts the rest, and computes for each
+the longest factor (up to `WINDOW` bytes) that it shares with one of a smaller document: with the previous or the next
+smaller document in suffix order. Later copies go, the first stays.
 
 Null and empty texts have no bytes. Documents shorter than the window lose nothing. A null id counts as the smallest.
 Rows that repeat an id don't count as earlier than each other. An empty table gives no rows. A document is one unit of
@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from fleetmeter.llm import exchange as X
-from fleetmeter.llm.common import BYTE_HASH, Block, arrow_map, mix, stored
+from fleetmeter.llm.common import BYTE_HASH, Block, arrow_map, mix, powers, stored
 
 WINDOW, GRAM = 50, 24
 #: One in so many anchors bounds a long string.
@@ -33,6 +33,14 @@ THIN = 8
 #: Bytes of text in a block.
 SIZE = 1 << 20
 _ODD = 0xD6E8FEB86659FD9D
+_OTHER_HASH = mix(BYTE_HASH)
+
+
+def summed(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums from the start of data, from which the hash of any of its strings follows."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data] * powers(len(data), _ODD, "suffix-up"), out=out[1:])
+    return out
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -54,14 +62,8 @@ class Parsed:
         data = self.block.data
         self.ids = np.array([X.NO_ID if i is None else i for i in ids], np.int64)
         sizes = self.block.ends - self.block.starts
-        up, down = (np.full(len(data) + 1, b, np.uint64) for b in (_ODD, pow(_ODD, -1, 1 << 64)))
-        up[0] = down[0] = 1
-        up = np.multiply.accumulate(up)
-        self.down = np.multiply.accumulate(down)
-        self.one, self.two = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_HASH[data] * up[:-1], out=self.one[1:])
-        np.cumsum(mix(BYTE_HASH[data]) * up[:-1], out=self.two[1:])
-        del up
+        self.down = powers(len(data) + 1, pow(_ODD, -1, 1 << 64), "suffix-down")
+        self.one, self.two = summed(data, BYTE_HASH), summed(data, _OTHER_HASH)
         # the first bytes of strings: those with `window` bytes left in their document
         self.opens = np.flatnonzero(X.covered(len(data), self.block.starts, np.maximum(self.block.starts, self.block.ends - window + 1)))
         bits = np.uint64(max(1, len(data).bit_length()))
@@ -162,52 +164,48 @@ class Parsed:
         return X.covered(len(self.block.data) + 1, at, at + self.window)[:-1]
 
 
-def _ranked(value: np.ndarray) -> np.ndarray:
-    """The rank of each value among the distinct ones."""
-    order = np.argsort(value)
-    sorted_value = value[order]
-    new = np.zeros(len(value), np.uint32)
-    new[1:] = sorted_value[1:] != sorted_value[:-1]
-    rank = np.empty(len(value), np.uint32)
-    rank[order] = np.cumsum(new, dtype=np.uint32)
-    return rank
-
-
-def suffix_ranks(data: np.ndarray, window: int) -> np.ndarray:
-    """The rank of each suffix among all by its first `window` bytes; data has `window` bytes to spare at its end."""
-    size, width = len(data) - window, 1
-    value = data.astype(np.uint64)
-    while width < 8 and 2 * width <= window:
-        value = (value[: len(value) - width] << np.uint64(8 * width)) | value[width:]
-        width *= 2
-    rank = _ranked(value)
-    while width < window:
-        if len(rank) < 1 << 21:  # three ranks fit a number
-            step = min(width, (window - width + 1) // 2)
-            last = min(window - width, 2 * step)
-            size_left = len(rank) - last
-            wide = rank[:size_left].astype(np.uint64) << np.uint64(42)
-            rank = _ranked(wide | rank[step : step + size_left].astype(np.uint64) << np.uint64(21) | rank[last:])
-            width += last
-        else:
-            step = min(width, window - width)
-            rank = _ranked((rank[: len(rank) - step].astype(np.uint64) << np.uint64(32)) | rank[step:])
-            width += step
-    return rank[:size]
+def repeated(data: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
+    """Of the places, those whose string has a name that another place's has too: all that can be copies, and few others."""
+    total = summed(data, BYTE_HASH)
+    down = powers(len(data) + 1, pow(_ODD, -1, 1 << 64), "suffix-down")
+    name = mix((total[place + window] - total[place]) * down[place])
+    order = np.argsort(name)
+    new = np.ones(len(order) + 1, bool)
+    new[1:-1] = np.diff(name[order]) != 0
+    return np.sort(order[~(new[:-1] & new[1:])])
 
 
-def longest_previous(rank: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
-    """For each suffix, `window` if one of a smaller document shares that many bytes, else 0.
+def _to_smaller(doc: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each place in suffix order, the bytes it shares with the nearest one before it of a smaller document; 0 if none.
 
-    In suffix order, suffixes that share `window` bytes stand together, so the common prefix with the previous smaller
-    document and with the next smaller one is `window` inside such a stretch and less beyond it.
+    All places jump at once: a place that points at one of no smaller document takes over where that one points, since
+    nothing in between is smaller, and the least of both common lengths.
     """
-    order = np.lexsort((doc, rank))
-    new = np.ones(len(order), bool)
-    new[1:] = rank[order][1:] != rank[order][:-1]
-    least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]  # sorted by document, so the stretch's first
-    out = np.zeros(len(order), np.int64)
-    out[order] = np.where(doc[order] > least, window, 0)
+    at, shared = np.arange(len(doc)) - 1, np.concatenate([[0], common])[: len(doc)]
+    live = np.arange(len(doc))
+    while True:
+        live = live[(at[live] >= 0) & (shared[live] > 0)]
+        live = live[doc[at[live]] >= doc[live]]
+        if not len(live):
+            break
+        over = at[live]
+        shared[live], at[live] = np.minimum(shared[live], shared[over]), at[over]
+    return np.where(at >= 0, shared, 0)
+
+
+def longest_previous(strings: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each row of bytes, the longest start it shares with one of a smaller document: in suffix order that is the
+    previous or the next place of a smaller document. Bytes are sorted and compared themselves."""
+    if not len(doc):
+        return np.zeros(0, np.int64)
+    width = strings.shape[1]
+    order = np.argsort(np.ascontiguousarray(strings).view(f"S{width}").ravel(), kind="stable")
+    rows, owner = strings[order], doc[order]
+    differ = rows[1:] != rows[:-1]
+    common = np.where(differ.any(1), differ.argmax(1), width)
+    before, after = _to_smaller(owner, common), _to_smaller(owner[::-1], common[::-1])[::-1]
+    out = np.empty(len(doc), np.int64)
+    out[order] = np.maximum(before, after)
     return out
 
 
@@ -226,10 +224,12 @@ def _settled(window: int):
             many.append(int((sizes[-1] - window + 1).sum()))
         doc, size = np.concatenate(docs), np.concatenate(sizes)
         start = np.cumsum(size) - size
-        rank = suffix_ranks(np.concatenate([*data, np.zeros(window, np.uint8)]), window)
-        n = size - window + 1
+        whole, n = np.concatenate(data), size - window + 1
         place = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        hit = longest_previous(rank[place], np.repeat(doc, n), window) >= window
+        some = repeated(whole, place, window)
+        strings = np.lib.stride_tricks.sliding_window_view(whole, window)[place[some]]
+        hit = np.zeros(len(place), bool)
+        hit[some] = longest_previous(strings, np.repeat(doc, n)[some]) == window
         ends = np.cumsum(many)
         bits = [np.packbits(hit[e - m : e]).tobytes() if hit[e - m : e].any() else None for e, m in zip(ends, many, strict=True)]
         return X.told(rows, bits)

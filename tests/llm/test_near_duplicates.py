@@ -148,3 +148,22 @@ def test_texts_of_one_template_do_not_meet(spark):
         texts = spark.createDataFrame([(i, pack(t), i) for i, t in rows], "node binary, words binary, root binary")
         many[n] = nd.prefix_pairs(texts).count()
     assert many[400] <= 4 * max(many[100], 25)
+
+
+def test_rare_tokens_bring_all_similar_texts_together(spark):
+    """No pair of 0.8 or more is lost to the order, the sizes or the places of the shared tokens."""
+    rng = random.Random(11)
+    rows, pack = [], nd.zstandard.ZstdCompressor(level=1).compress
+    for family in range(12):
+        words = [f"f{family % 5}.{rng.randrange(40)}" for _ in range(rng.randrange(5, 120))]
+        for _ in range(7):
+            copy = list(words)
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = f"e{rng.randrange(30)}"
+            rows.append(" ".join(copy[: len(copy) - rng.randrange(3)] + ["common end of all texts here"] * rng.randrange(2)))
+    rows = sorted(set(rows))
+    texts = spark.createDataFrame([(bytes([i]), pack(t.encode()), bytes([i])) for i, t in enumerate(rows)], "node binary, words binary, root binary")
+    met = {(r.node[0], r.hub[0]) for r in nd.prefix_pairs(texts).collect()}
+    bags_of = [bag(t) for t in rows]
+    want = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if jaccard(bags_of[i], bags_of[j]) >= 0.8}
+    assert len(want) > 20 and want <= met

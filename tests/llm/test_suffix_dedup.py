@@ -57,18 +57,30 @@ def test_equals_brute_force(spark, monkeypatch, seed):
     assert suffix_dedup.remove_copies(docs.limit(0)).count() == 0
 
 
-def test_ranks_and_factors():
-    rng = random.Random(5)
-    data = np.array([rng.randrange(2) for _ in range(400)], np.uint8)
-    for window in (5, 8, 13, 50):
-        padded = np.concatenate([data, np.zeros(window, np.uint8)])
-        rank = suffix_dedup.suffix_ranks(padded, window)
-        strings = [padded[i : i + window].tobytes() for i in range(len(data))]
-        places = {s: i for i, s in enumerate(sorted(set(strings)))}
-        assert rank.tolist() == [places[s] for s in strings]
-        doc = np.array([rng.randrange(9) for _ in data])
-        least = {s: min(int(d) for t, d in zip(strings, doc) if t == s) for s in set(strings)}
-        assert suffix_dedup.longest_previous(rank, doc, window).tolist() == [window * (least[s] < d) for s, d in zip(strings, doc)]
-    values = np.array([rng.randrange(1000) for _ in range(300)], np.uint64)
+def test_longest_previous_factors():
+    rng = np.random.default_rng(5)
+    for many, letters, docs in ((0, [97], 1), (1, [97], 1), (40, [97], 9), (200, [0, 97, 255], 60), (300, [0, 1], 300), (300, [97, 98], 2)):
+        strings = rng.choice(np.array(letters, np.uint8), (many, 7))
+        doc = rng.integers(0, docs, many)
+        want = []
+        for x, d in zip(strings, doc, strict=True):
+            starts = [np.append(np.flatnonzero(x != y), 7)[0] for y, e in zip(strings, doc, strict=True) if e < d]
+            want.append(max(starts, default=0))
+        assert suffix_dedup.longest_previous(strings, doc).tolist() == want
+    falling = np.zeros((5000, 7), np.uint8)  # equal strings, each document smaller than the one before
+    assert suffix_dedup.longest_previous(falling, np.arange(5000)[::-1]).tolist() == [7] * 4999 + [0]
+
+
+def test_strings_that_others_have_are_never_left_out():
+    rng = np.random.default_rng(6)
+    data = rng.integers(0, 3, 4000).astype(np.uint8)
+    place = np.sort(rng.choice(3990, 2000, replace=False))
+    strings = [data[p : p + 9].tobytes() for p in place]
+    want = [i for i, x in enumerate(strings) if strings.count(x) > 1]
+    assert suffix_dedup.repeated(data, place, 9).tolist() == want
+
+
+def test_sliding_least():
+    values = np.random.default_rng(7).integers(0, 1000, 300).astype(np.uint64)
     for width in (1, 2, 3, 16, 27):
         assert suffix_dedup.sliding_least(values, width).tolist() == [min(values[i : i + width]) for i in range(300 - width + 1)]
