@@ -48,6 +48,9 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable]) -> DataF
                 yield out
             else:
                 yield from out
+        del work
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # workers live on: what the task freed goes back
+            pool.release_unused()
 
     return df.mapInArrow(run, schema)
 
