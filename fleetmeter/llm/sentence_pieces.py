@@ -5,19 +5,29 @@ segment always begins at a run of signs, and the words between are encoded once
 
 A document of more than `CHUNK` characters is cut into chunks of that size, wherever the cuts fall. A chunk is scored as
 a max-plus matrix: for each place where the first piece of its own may begin (up to the longest piece into the chunk),
-the best score to each place where the last of its pieces may end beyond it. The matrices of a document are combined
-associatively; the best boundary states follow, and every chunk is traced back by itself between its two states.
-
-A character without a piece becomes byte pieces, at the penalty that the unigram model of SentencePiece gives. Ties go
-to the longer first piece. A null or empty text has no pieces. Rows that repeat are encoded each. An empty table gives
-no rows. Decoding returns the text; the piece sign itself is the one character that comes back as a blank.
+the best score to each place where the last of its pieces may end beyond it. A scan combines the matrices of a document
+associatively into the scores with which every chunk is entered. With these, every chunk is traced back by itself, from
+each state in which it may end; the document's path picks one trace of each.
+
+Ties go to the longer last piece, at every place and in chunks as in whole texts, so the ids don't depend on the size of
+chunks (scores that are whole numbers add up exactly; others to rounding). A character without a piece becomes byte
+pieces, at the penalty that the unigram model of SentencePiece gives. A null or empty text has no pieces. Rows that
+repeat are encoded each. An empty table gives no rows. Decoding returns the text; the piece sign itself is the one
+character that comes back as a blank.
+
+The scores of a BPE file are merge ranks, and its own encoding merges in their order, which no sum of scores expresses.
+`n_model_pieces` and `model_crc32` are of the ids that the model itself gives.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -28,8 +38,11 @@ from pyspark.sql import functions as F
 from fleetmeter.llm.common import PASS_BYTES, arrow_map, slices, stored, texts_of
 
 CHUNK = 1 << 14
-#: Words that a task remembers.
-CACHE = 250_000
+#: Words that a task remembers, and the most characters of one.
+CACHE, SHORT = 200_000, 64
+#: The library adds scores as 32-bit floats, exact up to 2 ** 24. Pieces down to -LIGHT are left as they are; the least
+#: score counts as -HEAVY, more than the others of a short word together, and at most three of those are in exact sums.
+LIGHT, HEAVY = 1 << 15, 1 << 22
 SIGN = "▁"
 _PART = re.compile(f"{SIGN}+[^{SIGN}]*")
 
@@ -39,16 +52,22 @@ def marked(text: str) -> str:
 
 
 class Words(dict):
-    """Score and ids of each word met so far."""
+    """What `solve` gives for each word met so far. New words of a call are solved together."""
 
-    def __init__(self, solve):
+    def __init__(self, solve: Callable[[list[str]], list]):
         super().__init__()
         self.solve = solve
 
-    def __missing__(self, part: str) -> tuple[float, bytes]:
-        got = self.solve(part)
-        if len(part) <= 64:
-            self[part] = got
+    def of(self, texts: list[list[str]]) -> list[list]:
+        if len(self) > CACHE:
+            self.clear()
+        new = [part for part in set().union(*texts) if part not in self]
+        if new:
+            self.update(zip(new, self.solve(new), strict=True))
+        got = [list(map(self.__getitem__, parts)) for parts in texts]
+        for part in new:
+            if len(part) > SHORT:
+                del self[part]
         return got
 
 
@@ -57,6 +76,7 @@ class Model:
 
     def __init__(self, path: str):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         reader = sentencepiece.SentencePieceProcessor(model_file=path)
         many = range(reader.get_piece_size())
@@ -64,57 +84,98 @@ class Model:
         plain = [i for i in many if not (reader.is_byte(i) or reader.is_control(i) or reader.is_unknown(i) or reader.is_unused(i))]
         self.pieces = {reader.id_to_piece(i): (float(reader.get_score(i)), i) for i in plain}
         self.longest = max(map(len, self.pieces))
-        self.unknown = min(s for s, _ in self.pieces.values()) - 10.0
+        self.reach: dict[str, int] = {}  # longest piece by its first two characters
+        for piece in self.pieces:
+            self.reach[piece[:2]] = max(self.reach.get(piece[:2], 1), len(piece))
+        least = min(s for s, _ in self.pieces.values())
+        self.unknown = least - 10.0
         self.raw = [b""] * len(many)
-        for piece, (_, i) in self.pieces.items():
-            self.raw[i] = piece.encode()
-        for value, i in self.bytes.items():
-            self.raw[i] = bytes([value])
-        self.known = Words(self._solved)
-
-    def paths(self, text: str, start: int, stop: int) -> tuple[list[float], list[int]]:
-        """For each place, the best score from `start` and where the last piece begins. Pieces begin before `stop`."""
-        size, find, longest = len(text), self.pieces.get, self.longest
+        self.worth = np.zeros(len(many))
+        for piece, (score, i) in self.pieces.items():
+            self.raw[i], self.worth[i] = piece.encode(), score
+        for value, i in self.bytes.items():  # the first byte of a character carries its penalty
+            self.raw[i], self.worth[i] = bytes([value]), 0.0 if 0x80 <= value < 0xC0 else self.unknown
+        self.heavy = self.worth < -LIGHT
+
+        file = sentencepiece_model_pb2.ModelProto()
+        with open(path, "rb") as f:
+            file.ParseFromString(f.read())
+        file.normalizer_spec.add_dummy_prefix = file.normalizer_spec.escape_whitespaces = False  # words come marked
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=file.SerializeToString())
+        scores = {s for s, _ in self.pieces.values()}
+        self.whole = all(s.is_integer() and (s >= -LIGHT or s == least) for s in scores)
+        file.trainer_spec.model_type = file.trainer_spec.UNIGRAM
+        for piece in file.pieces:
+            if piece.score < -LIGHT:
+                piece.score = -HEAVY
+        self.best = sentencepiece.SentencePieceProcessor(model_proto=file.SerializeToString())
+        self.known, self.merged = Words(self._solved), Words(self._merged)
+
+    def paths(self, text: str, start: int, stop: int, entry: np.ndarray | None = None) -> tuple[list[float], list[int]]:
+        """For each place, the best score and where the last piece begins. Pieces begin before `stop`.
+
+        A path begins at `start`, or at any of the first places with the score that `entry` gives.
+        """
+        size, find, reach, shortest = len(text), self.pieces.get, self.reach.get, self.unknown
         best, back = [-np.inf] * (size + 1), [-1] * (size + 1)
         best[start] = 0.0
+        if entry is not None:
+            best[: len(entry)] = entry[: size + 1].tolist()
         for at in range(start, stop):
             so_far = best[at]
             if so_far == -np.inf:
                 continue
-            for end in range(min(size, at + longest), at, -1):
+            for end in range(min(size, at + reach(text[at : at + 2], 1)), at, -1):
                 found = find(text[at:end])
                 if found is not None and so_far + found[0] > best[end]:
                     best[end], back[end] = so_far + found[0], at
-            if found is None and so_far + self.unknown > best[at + 1]:  # not even the character is a piece
-                best[at + 1], back[at + 1] = so_far + self.unknown, at
+            if found is None and so_far + shortest > best[at + 1]:  # not even the character is a piece
+                best[at + 1], back[at + 1] = so_far + shortest, at
         return best, back
 
-    def ids(self, text: str, back: list[int], start: int, end: int) -> bytes:
-        """The ids of the path that ends at a place."""
+    def ids(self, text: str, back: list[int], end: int) -> tuple[bytes, int]:
+        """The ids of the path that ends at a place, and where it begins."""
         out: list[int] = []
-        while end > start:
+        while back[end] >= 0:
             at = back[end]
             found = self.pieces.get(text[at:end])
             out.extend([found[1]] if found else [self.bytes[b] for b in reversed(text[at:end].encode())])
             end = at
-        return np.array(out[::-1], "<u4").tobytes()
+        return np.array(out[::-1], "<u4").tobytes(), end
 
-    def _solved(self, part: str) -> tuple[float, bytes]:
+    def alone(self, part: str) -> tuple[float, bytes]:
+        """Score and ids of one word."""
         best, back = self.paths(part, 0, len(part))
-        return best[-1], self.ids(part, back, 0, len(part))
-
-    def word(self, part: str) -> tuple[float, bytes]:
-        return self.known[part]
+        return best[-1], self.ids(part, back, len(part))[0]
+
+    def _solved(self, parts: list[str]) -> list[tuple[float, bytes, bytes]]:
+        """Score and ids of many words, and the model's own ids. The library solves short ones, as far as its sums are exact."""
+        short = [p for p in parts if len(p) <= SHORT] if self.whole else []
+        got = self.best.encode(short, num_threads=1) if short else []
+        flat = np.fromiter(chain.from_iterable(got), np.int64)
+        ends = np.cumsum([0, *map(len, got)])
+        scores = np.diff(np.concatenate([[0.0], np.cumsum(self.worth[flat])])[ends])
+        exact = np.diff(np.concatenate([[0], np.cumsum(self.heavy[flat])])[ends]) <= 3
+        done = {p: (s, array("I", i).tobytes()) for p, s, i, e in zip(short, scores.tolist(), got, exact.tolist(), strict=True) if e}
+        return [(*(done.get(p) or self.alone(p)), own) for p, own in zip(parts, self._merged(parts), strict=True)]
+
+    def _merged(self, parts: list[str]) -> list[bytes]:
+        return [array("I", i).tobytes() for i in self.model.encode(parts, num_threads=1)]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[float, bytes, bytes]]:
+        """Score and ids of each text, and the ids that the model itself gives."""
+        out = []
+        for words in self.known.of([_PART.findall(marked(text)) for text in texts]):
+            scores, ids, own = zip(*words, strict=True) if words else ((), (), ())
+            out.append((sum(scores), b"".join(ids), b"".join(own)))
+        return out
 
     def encode(self, text: str) -> tuple[float, bytes]:
-        """Score and ids of a text."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        got = list(map(self.known.__getitem__, _PART.findall(marked(text))))
-        if not got:
-            return 0.0, b""
-        scores, ids = zip(*got, strict=True)
-        return sum(scores), b"".join(ids)
+        return self.encode_all([text])[0][:2]
+
+    def merge(self, text: str) -> bytes:
+        """The ids that the model itself gives; no piece of it reaches over the beginning of a word either."""
+        return b"".join(self.merged.of([_PART.findall(marked(text))])[0])
 
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -122,20 +183,28 @@ class Model:
 
     # chunks: `text` holds the chunk's `size` characters and, after them, as many as a piece may reach beyond
 
+    @staticmethod
+    def _walls(text: str, size: int, before: str) -> list[int]:
+        """Where words begin: no piece reaches over these places."""
+        walls = [m.start() for m in _PART.finditer(text, 0, size)]
+        return walls[1:] if before == SIGN and walls[:1] == [0] else walls  # a run of signs may begin before the chunk
+
+    @staticmethod
+    def _between(text: str, walls: list[int]) -> list[str]:
+        return [text[a:b] for a, b in zip(walls[:-1], walls[1:], strict=True)]
+
     def transfer(self, text: str, size: int, before: str = "") -> np.ndarray:
         """Best scores from a first piece at each of `longest` places to an end at each of as many beyond the chunk.
 
         `before` is the character before the chunk, if there is one.
         """
         out = np.full((self.longest, self.longest), -np.inf)
-        walls = [m.start() for m in _PART.finditer(text, 0, size)]
-        if before == SIGN and walls and walls[0] == 0:  # inside a run of signs, which pieces may reach over
-            walls = walls[1:]
+        walls = self._walls(text, size, before)
         if not walls or walls[-1] - walls[0] < self.longest:
             for e in range(min(self.longest, size)):
                 self._leave(text, size, e, out[e])
         else:  # all paths meet at the first wall and at the last one
-            middle = sum(self.word(text[a:b])[0] for a, b in zip(walls[:-1], walls[1:], strict=True))
+            middle = sum(word[0] for word in self.known.of([self._between(text, walls)])[0])
             tail = np.full(self.longest, -np.inf)
             self._leave(text, size, walls[-1], tail)
             for e in range(min(self.longest, walls[0] + 1)):
@@ -150,19 +219,28 @@ class Model:
         for x in range(min(self.longest, len(text) - size + 1)):
             row[x] = best[size + x]
 
-    def trace(self, text: str, size: int, start: int, end: int) -> bytes:
-        """The ids of the chunk's own pieces, from its first to its last state."""
-        if start >= size:
-            return b""
-        walls = [m.start() for m in _PART.finditer(text, start, size)]
-        if len(walls) < 2:
-            _, back = self.paths(text, start, size)
-            return self.ids(text, back, start, size + end)
-        head, tail = text[: walls[0]], text[walls[-1] :]
-        _, back = self.paths(head, start, len(head))
-        _, last = self.paths(tail, 0, size - walls[-1])
-        middle = b"".join(self.word(text[a:b])[1] for a, b in zip(walls[:-1], walls[1:], strict=True))
-        return self.ids(head, back, start, len(head)) + middle + self.ids(tail, last, 0, size + end - walls[-1])
+    def trace(self, text: str, size: int, before: str, entry: np.ndarray) -> tuple[bytes, list[int], list[bytes]]:
+        """The chunk's own ids for each state that it may end in: what all begin with, first states, what follows.
+
+        `entry` holds the best score of the text before, by first state. A state that no path ends in has first state -1.
+        """
+        walls = self._walls(text, size, before)
+        stem, first, rest = b"", -1, text
+        if walls:  # one path up to the last wall
+            head, rest = text[: walls[0]], text[walls[-1] :]
+            _, back = self.paths(head, 0, len(head), entry)
+            stem, first = self.ids(head, back, len(head))
+            stem += b"".join(word[1] for word in self.known.of([self._between(text, walls)])[0])
+            entry, size = np.zeros(1), size - walls[-1]
+        best, back = self.paths(rest, 0, size, entry)
+        firsts, ends = [-1] * self.longest, [b""] * self.longest
+        open_ = [x for x in range(min(self.longest, len(rest) - size + 1)) if best[size + x] != -np.inf]
+        for x in open_:
+            ends[x], at = self.ids(rest, back, size + x)
+            firsts[x] = first if walls else at
+        shared = commonprefix([ends[x] for x in open_])
+        shared = shared[: len(shared) // 4 * 4]
+        return stem + shared, firsts, [e[len(shared) :] for e in ends]
 
 
 @lru_cache(maxsize=2)
@@ -176,43 +254,57 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(1)
 
 
-def states(matrices: list[np.ndarray]) -> tuple[float, list[int]]:
-    """Best score through all chunks, and the state at each of their borders. Products of halves, then down again."""
-
-    def between(lo: int, hi: int, first: int, last: int, out: list[int]) -> None:
-        if hi - lo == 1:
-            out.append(last)
-            return
-        middle = (lo + hi) // 2
-        best = int((tree[lo, middle][first] + tree[middle, hi][:, last]).argmax())
-        between(lo, middle, first, best, out)
-        between(middle, hi, best, last, out)
+def entries(matrices: list[np.ndarray]) -> tuple[float, list[np.ndarray]]:
+    """Best score through all chunks, and the scores by state with which each is entered: products of halves, then down."""
 
     def build(lo: int, hi: int) -> np.ndarray:
         middle = (lo + hi) // 2
         tree[lo, hi] = matrices[lo] if hi - lo == 1 else product(build(lo, middle), build(middle, hi))
         return tree[lo, hi]
 
+    def down(lo: int, hi: int, scores: np.ndarray) -> None:
+        if hi - lo == 1:
+            out.append(scores)
+            return
+        middle = (lo + hi) // 2
+        down(lo, middle, scores)
+        down(middle, hi, (scores[:, None] + tree[lo, middle]).max(0))
+
     tree: dict[tuple[int, int], np.ndarray] = {}
-    total, out = build(0, len(matrices)), [0]
-    between(0, len(matrices), 0, 0, out)
+    out: list[np.ndarray] = []
+    total = build(0, len(matrices))
+    down(0, len(matrices), np.where(np.arange(len(total)) == 0, 0.0, -np.inf))
     return float(total[0, 0]), out
 
 
-_OUT = "doc_id long, n_pieces long, score double, ids_crc32 long, decoded boolean"
+def picked(chunks: list[dict]) -> bytes:
+    """The ids of a text from the traces of its chunks, in order."""
+    out, state = [], 0
+    for chunk in reversed(chunks):
+        out += [chunk["ends"][state], chunk["stem"]]
+        state = chunk["firsts"][state]
+    return b"".join(reversed(out))
+
+
+_OUT = "doc_id long, n_pieces long, score double, ids_crc32 long, decoded boolean, n_model_pieces long, model_crc32 long"
+_TRACE = "stem binary, firsts array<int>, ends array<binary>"
 
 
 def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, n_pieces, score, ids_crc32, whether the ids decode to the text, and with `ids` the ids as bytes."""
+    """doc_id, n_pieces, score, ids_crc32, whether the ids decode to the text, count and crc32 of the model's own ids.
+
+    With `ids` also the ids as bytes.
+    """
     schema = _OUT + ", ids binary" * ids
     rows = stored(texts_of(docs).withColumn("uid", F.expr("uuid()")).where(F.length("text") > chunk), "pieces-long")
     short = texts_of(docs).where(F.coalesce(F.length("text"), F.lit(0)) <= chunk)
-    names = ["doc_id", "n_pieces", "score", "ids_crc32", "decoded"] + ["ids"] * ids
+    names = ["doc_id", "n_pieces", "score", "ids_crc32", "decoded", "n_model_pieces", "model_crc32"] + ["ids"] * ids
 
-    def result(keys: list, texts: list[str], scores: list[float], raw: list[bytes], model: Model) -> pa.RecordBatch:
+    def result(keys: list, texts: list[str], scores: list[float], raw: list[bytes], own: list[bytes], model: Model) -> pa.RecordBatch:
         arrays = [pa.array(keys, pa.int64()), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array(scores, pa.float64())]
         arrays += [pa.array([zlib.crc32(r) for r in raw], pa.int64())]
         arrays += [pa.array([model.decode(r) == t for r, t in zip(raw, texts, strict=True)], pa.bool_())]
+        arrays += [pa.array([len(r) // 4 for r in own], pa.int64()), pa.array([zlib.crc32(r) for r in own], pa.int64())]
         return pa.RecordBatch.from_arrays(arrays + [pa.array(raw, pa.binary())] * ids, names)
 
     def whole():
@@ -221,8 +313,8 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         def work(batch: pa.RecordBatch):
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(np.array([len(t) for t in texts]), PASS_BYTES):
-                got = [model.encode(t) for t in texts[a:b]]
-                yield result(keys[a:b], texts[a:b], [s for s, _ in got], [r for _, r in got], model)
+                got = model.encode_all(texts[a:b])
+                yield result(keys[a:b], texts[a:b], *map(list, zip(*got, strict=True)), model)
 
         return work
 
@@ -255,34 +347,38 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
     def combine(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("k")
         side = int(np.sqrt(len(own["matrix"].iloc[0]) // 8))
-        total, border = states([np.frombuffer(m).reshape(side, side) for m in own["matrix"]])
-        return pd.DataFrame({"uid": own["uid"], "k": own["k"], "first": border[:-1], "last": border[1:], "total": total})
+        total, scores = entries([np.frombuffer(m).reshape(side, side) for m in own["matrix"]])
+        return pd.DataFrame({"uid": own["uid"], "k": own["k"], "entry": [s.tobytes() for s in scores], "total": total})
 
     def trace():
         model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = batch.to_pylist()
-            raw = [model.trace(r["part"], r["size"], r["first"], r["last"]) for r in rows]
-            return pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), batch.column("total"), pa.array(raw, pa.binary())], ["uid", "k", "total", "ids"])
+            got = [model.trace(r["part"], r["size"], r["before"], np.frombuffer(r["entry"])) for r in rows]
+            kinds = pa.binary(), pa.list_(pa.int32()), pa.list_(pa.binary())
+            own = [pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays([*map(batch.column, names), *own], [*names, "stem", "firsts", "ends"])
 
+        names = ["uid", "k", "total"]
         return work
 
     def join_up():
         model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raw = [b"".join(p["ids"] for p in sorted(parts, key=lambda p: p["k"])) for parts in batch.column("parts").to_pylist()]
-            return result(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("total").to_pylist(), raw, model)
+            raw = [picked(sorted(parts, key=lambda p: p["k"])) for parts in batch.column("parts").to_pylist()]
+            keys, texts, totals = (batch.column(n).to_pylist() for n in ("doc_id", "text", "total"))
+            return result(keys, texts, totals, raw, list(map(model.merge, texts)), model)
 
         return work
 
     chunks = arrow_map(rows.select("uid", "text"), "uid string, k long, before string, part string, size long", cut)
     chunks = stored(chunks.repartition("uid", "k"), "pieces-chunks")
     matrices = arrow_map(chunks, "uid string, k long, matrix binary", weigh)
-    border = matrices.groupBy("uid").applyInPandas(combine, "uid string, k long, first long, last long, total double")
-    traced = arrow_map(chunks.join(border, ["uid", "k"]), "uid string, k long, total double, ids binary", trace)
-    parts = traced.groupBy("uid").agg(F.first("total").alias("total"), F.collect_list(F.struct("k", "ids")).alias("parts"))
+    border = matrices.groupBy("uid").applyInPandas(combine, "uid string, k long, entry binary, total double")
+    traced = arrow_map(chunks.join(border, ["uid", "k"]), f"uid string, k long, total double, {_TRACE}", trace)
+    parts = traced.groupBy("uid").agg(F.first("total").alias("total"), F.collect_list(F.struct("k", "stem", "firsts", "ends")).alias("parts"))
     long = rows.join(parts, "uid").select("doc_id", "text", "total", "parts")
     return arrow_map(short, schema, whole).union(arrow_map(long, schema, join_up))
 

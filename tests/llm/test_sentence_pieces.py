@@ -41,9 +41,10 @@ def test_chunks_equal_whole_texts(spark):
     for chunk in (7, 16, 100, 1 << 14):
         out = sp.encoded(docs, PATH, ids=True, chunk=chunk).collect()
         assert len(out) == len(rows)
-        want = {(i, t or ""): model.encode(t or "") for i, t in rows}
-        got = sorted((str(r.doc_id), r.score) for r in out)
-        assert got == sorted((str(i), want[i, t or ""][0]) for i, t in rows)
+        want = sorted((str(i), *model.encode(t or "")) for i, t in rows)
+        assert sorted((str(r.doc_id), r.score, bytes(r.ids)) for r in out) == want
+        own = sorted((str(i), zlib.crc32(model.merge(t or ""))) for i, t in rows)
+        assert sorted((str(r.doc_id), r.model_crc32) for r in out) == own
         for r in out:
             assert r.decoded and r.ids_crc32 == zlib.crc32(r.ids) and r.n_pieces == len(r.ids) // 4
         back = sp.decoded(spark.createDataFrame([(r.doc_id, r.ids) for r in out], "doc_id long, ids binary"), PATH)
@@ -55,8 +56,42 @@ def test_products_are_associative():
     rng = np.random.default_rng(3)
     a, b, c = (rng.integers(-9, 9, (4, 4)).astype(float) for _ in range(3))
     assert (sp.product(sp.product(a, b), c) == sp.product(a, sp.product(b, c))).all()
-    total, border = sp.states([a, b, c])
-    assert total == sp.product(sp.product(a, b), c)[0, 0] == a[0, border[1]] + b[border[1], border[2]] + c[border[2], 0]
+    total, scores = sp.entries([a, b, c])
+    assert total == sp.product(sp.product(a, b), c)[0, 0]
+    assert (scores[1] == a[0]).all() and (scores[2] == sp.product(a, b)[0]).all()
+
+
+def cut(model, text, chunk):
+    """The encoding of a text in chunks, without Spark."""
+    text, rows = sp.marked(text), []
+    for at in range(0, len(text), chunk):
+        rows.append((text[at : at + chunk + model.longest - 1], min(chunk, len(text) - at), text[max(0, at - 1) : at]))
+    total, scores = sp.entries([model.transfer(*row) for row in rows])
+    traces = [model.trace(*row, entry) for row, entry in zip(rows, scores, strict=True)]
+    return total, sp.picked([dict(zip(("stem", "firsts", "ends"), t, strict=True)) for t in traces])
+
+
+def test_ties_do_not_depend_on_chunks():
+    rng, model = random.Random(7), sp.Model(PATH)
+    texts = ["".join(rng.choices(["$", "$$", "=", "==", "-", ".", "..", " ", "the", "he", "\n", "漢"], k=120)) for _ in range(60)]
+    for one in [*texts, "$" * 300, " " * 200, "a" * 300]:
+        whole = model.encode(one)
+        for chunk in (1, 2, 5, 15, 16, 17, 64, 100):
+            assert cut(model, one, chunk) == whole
+
+
+def test_library_and_own_programme_agree():
+    rng, model = random.Random(8), sp.Model(PATH)
+    parts = sp._PART.findall(sp.marked(text(rng, 500) + " the then there house"))
+    parts += ["▁\n\n\tx", "▁漢字", "▁\U0001f600é", "▁\x00a", "▁<s>", "▁<0x41>", "▁" * 40, "▁" + "ab" * 40, "▁\n漢\n\n字the"]
+    assert [got[:2] for got in model._solved(parts)] == list(map(model.alone, parts))
+
+
+def test_own_ids_are_those_of_the_model():
+    rng, model = random.Random(9), sp.Model(PATH)
+    reader = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for one in [text(rng, 60), "the  house\n\n   of\tthe 漢字 \U0001f600", "", " ", "   the", "a" * 300, "=" * 99]:
+        assert np.frombuffer(model.merge(one), "<u4").tolist() == reader.encode(one)
 
 
 def test_runs_of_blanks_over_a_border(spark):
