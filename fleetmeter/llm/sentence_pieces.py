@@ -21,6 +21,7 @@ The scores of a BPE file are merge ranks, and its own encoding merges in their o
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from array import array
@@ -39,7 +40,7 @@ from fleetmeter.llm.common import PASS_BYTES, arrow_map, slices, stored, texts_o
 
 CHUNK = 1 << 14
 #: Words that a task remembers, and the most characters of one.
-CACHE, SHORT = 200_000, 64
+CACHE, SHORT = 300_000, 64
 #: The library adds scores as 32-bit floats, exact up to 2 ** 24. Pieces down to -LIGHT are left as they are; the least
 #: score counts as -HEAVY, more than the others of a short word together, and at most three of those are in exact sums.
 LIGHT, HEAVY = 1 << 15, 1 << 22
@@ -109,7 +110,8 @@ class Model:
             if piece.score < -LIGHT:
                 piece.score = -HEAVY
         self.best = sentencepiece.SentencePieceProcessor(model_proto=file.SerializeToString())
-        self.known, self.merged = Words(self._solved), Words(self._merged)
+        self.known, self.scored, self.merged = Words(self._solved), Words(self._scored), Words(self._merged)
+        self.narrow = "<u2" if len(many) <= 1 << 16 else "<u4"
 
     def paths(self, text: str, start: int, stop: int, entry: np.ndarray | None = None) -> tuple[list[float], list[int]]:
         """For each place, the best score and where the last piece begins. Pieces begin before `stop`.
@@ -148,8 +150,8 @@ class Model:
         best, back = self.paths(part, 0, len(part))
         return best[-1], self.ids(part, back, len(part))[0]
 
-    def _solved(self, parts: list[str]) -> list[tuple[float, bytes, bytes]]:
-        """Score and ids of many words, and the model's own ids. The library solves short ones, as far as its sums are exact."""
+    def _scored(self, parts: list[str]) -> list[tuple[float, bytes]]:
+        """Score and ids of many words. The library solves short ones, as far as its sums are exact."""
         short = [p for p in parts if len(p) <= SHORT] if self.whole else []
         got = self.best.encode(short, num_threads=1) if short else []
         flat = np.fromiter(chain.from_iterable(got), np.int64)
@@ -157,11 +159,14 @@ class Model:
         scores = np.diff(np.concatenate([[0.0], np.cumsum(self.worth[flat])])[ends])
         exact = np.diff(np.concatenate([[0], np.cumsum(self.heavy[flat])])[ends]) <= 3
         done = {p: (s, array("I", i).tobytes()) for p, s, i, e in zip(short, scores.tolist(), got, exact.tolist(), strict=True) if e}
-        return [(*(done.get(p) or self.alone(p)), own) for p, own in zip(parts, self._merged(parts), strict=True)]
+        return [done.get(p) or self.alone(p) for p in parts]
 
     def _merged(self, parts: list[str]) -> list[bytes]:
         return [array("I", i).tobytes() for i in self.model.encode(parts, num_threads=1)]
 
+    def _solved(self, parts: list[str]) -> list[tuple[float, bytes, bytes]]:
+        return [(*best, own) for best, own in zip(self._scored(parts), self._merged(parts), strict=True)]
+
     def encode_all(self, texts: list[str]) -> list[tuple[float, bytes, bytes]]:
         """Score and ids of each text, and the ids that the model itself gives."""
         out = []
@@ -204,7 +209,7 @@ class Model:
             for e in range(min(self.longest, size)):
                 self._leave(text, size, e, out[e])
         else:  # all paths meet at the first wall and at the last one
-            middle = sum(word[0] for word in self.known.of([self._between(text, walls)])[0])
+            middle = sum(word[0] for word in self.scored.of([self._between(text, walls)])[0])
             tail = np.full(self.longest, -np.inf)
             self._leave(text, size, walls[-1], tail)
             for e in range(min(self.longest, walls[0] + 1)):
@@ -230,7 +235,7 @@ class Model:
             head, rest = text[: walls[0]], text[walls[-1] :]
             _, back = self.paths(head, 0, len(head), entry)
             stem, first = self.ids(head, back, len(head))
-            stem += b"".join(word[1] for word in self.known.of([self._between(text, walls)])[0])
+            stem += b"".join(word[1] for word in self.scored.of([self._between(text, walls)])[0])
             entry, size = np.zeros(1), size - walls[-1]
         best, back = self.paths(rest, 0, size, entry)
         firsts, ends = [-1] * self.longest, [b""] * self.longest
@@ -293,19 +298,18 @@ _TRACE = "stem binary, firsts array<int>, ends array<binary>"
 def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_pieces, score, ids_crc32, whether the ids decode to the text, count and crc32 of the model's own ids.
 
-    With `ids` also the ids as bytes.
+    With `ids` also the ids as bytes. Of cut texts the decoded one is compared by SHA-256.
     """
     schema = _OUT + ", ids binary" * ids
-    rows = stored(texts_of(docs).withColumn("uid", F.expr("uuid()")).where(F.length("text") > chunk), "pieces-long")
+    texts = texts_of(docs).withColumn("uid", F.expr("uuid()")).where(F.length("text") > chunk)
     short = texts_of(docs).where(F.coalesce(F.length("text"), F.lit(0)) <= chunk)
-    names = ["doc_id", "n_pieces", "score", "ids_crc32", "decoded", "n_model_pieces", "model_crc32"] + ["ids"] * ids
+    names = [f.split()[0] for f in schema.split(", ")]
 
-    def result(keys: list, texts: list[str], scores: list[float], raw: list[bytes], own: list[bytes], model: Model) -> pa.RecordBatch:
-        arrays = [pa.array(keys, pa.int64()), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array(scores, pa.float64())]
-        arrays += [pa.array([zlib.crc32(r) for r in raw], pa.int64())]
-        arrays += [pa.array([model.decode(r) == t for r, t in zip(raw, texts, strict=True)], pa.bool_())]
-        arrays += [pa.array([len(r) // 4 for r in own], pa.int64()), pa.array([zlib.crc32(r) for r in own], pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays + [pa.array(raw, pa.binary())] * ids, names)
+    def batch_of(*columns: list) -> pa.RecordBatch:
+        keys, raw, scores, decoded, own_sizes, own_sums = columns
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+        values = [keys, [len(r) // 4 for r in raw], scores, list(map(zlib.crc32, raw)), decoded, own_sizes, own_sums, raw]
+        return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind, _ in zip(values, kinds, names, strict=False)], names)
 
     def whole():
         model = model_of(path)
@@ -313,8 +317,20 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         def work(batch: pa.RecordBatch):
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(np.array([len(t) for t in texts]), PASS_BYTES):
-                got = model.encode_all(texts[a:b])
-                yield result(keys[a:b], texts[a:b], *map(list, zip(*got, strict=True)), model)
+                scores, raw, own = map(list, zip(*model.encode_all(texts[a:b]), strict=True))
+                decoded = [model.decode(r) == t for r, t in zip(raw, texts[a:b], strict=True)]
+                yield batch_of(keys[a:b], raw, scores, decoded, [len(r) // 4 for r in own], list(map(zlib.crc32, own)))
+
+        return work
+
+    def merge():
+        model = model_of(path)
+
+        def work(batch: pa.RecordBatch):
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                own, one = model.merge(text), batch.slice(i, 1)
+                extra = [hashlib.sha256(text.encode()).digest()], [len(own) // 4], [zlib.crc32(own)]
+                yield pa.RecordBatch.from_arrays([*one.columns, *map(pa.array, extra)], [*one.schema.names, "sha", *names[5:7]])
 
         return work
 
@@ -356,30 +372,38 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = batch.to_pylist()
             got = [model.trace(r["part"], r["size"], r["before"], np.frombuffer(r["entry"])) for r in rows]
-            kinds = pa.binary(), pa.list_(pa.int32()), pa.list_(pa.binary())
-            own = [pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays([*map(batch.column, names), *own], [*names, "stem", "firsts", "ends"])
+            firsts = pa.array([g[1] for g in got], pa.list_(pa.int32()))
+            ends = pa.array([[thin(e) for e in g[2]] for g in got], pa.list_(pa.binary()))
+            own = pa.array([thin(g[0]) for g in got], pa.binary()), firsts, ends
+            return pa.RecordBatch.from_arrays([*map(batch.column, keys), *own], [*keys, "stem", "firsts", "ends"])
+
+        def thin(ids: bytes) -> bytes:
+            return np.frombuffer(ids, "<u4").astype(model.narrow).tobytes()
 
-        names = ["uid", "k", "total"]
+        keys = ["uid", "k", "total"]
         return work
 
     def join_up():
         model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raw = [picked(sorted(parts, key=lambda p: p["k"])) for parts in batch.column("parts").to_pylist()]
-            keys, texts, totals = (batch.column(n).to_pylist() for n in ("doc_id", "text", "total"))
-            return result(keys, texts, totals, raw, list(map(model.merge, texts)), model)
+            keys, shas, totals, sizes, sums = (batch.column(n).to_pylist() for n in ("doc_id", "sha", "total", *names[5:7]))
+            narrow = [picked(sorted(parts, key=lambda p: p["k"])) for parts in batch.column("parts").to_pylist()]
+            raw = [np.frombuffer(r, model.narrow).astype("<u4").tobytes() for r in narrow]
+            decoded = [hashlib.sha256(model.decode(r).encode()).digest() == sha for r, sha in zip(raw, shas, strict=True)]
+            return batch_of(keys, raw, totals, decoded, sizes, sums)
 
         return work
 
+    own = "uid string, doc_id long, text string, sha binary, n_model_pieces long, model_crc32 long"
+    rows = stored(arrow_map(texts.select("uid", "doc_id", "text"), own, merge), "pieces-long")
     chunks = arrow_map(rows.select("uid", "text"), "uid string, k long, before string, part string, size long", cut)
     chunks = stored(chunks.repartition("uid", "k"), "pieces-chunks")
     matrices = arrow_map(chunks, "uid string, k long, matrix binary", weigh)
     border = matrices.groupBy("uid").applyInPandas(combine, "uid string, k long, entry binary, total double")
     traced = arrow_map(chunks.join(border, ["uid", "k"]), f"uid string, k long, total double, {_TRACE}", trace)
     parts = traced.groupBy("uid").agg(F.first("total").alias("total"), F.collect_list(F.struct("k", "stem", "firsts", "ends")).alias("parts"))
-    long = rows.join(parts, "uid").select("doc_id", "text", "total", "parts")
+    long = rows.drop("text").join(parts, "uid").drop("uid")
     return arrow_map(short, schema, whole).union(arrow_map(long, schema, join_up))
 
 
