@@ -188,61 +188,56 @@ class Model:
 
     # chunks: `text` holds the chunk's `size` characters and, after them, as many as a piece may reach beyond
 
-    @staticmethod
-    def _walls(text: str, size: int, before: str) -> list[int]:
-        """Where words begin: no piece reaches over these places."""
-        walls = [m.start() for m in _PART.finditer(text, 0, size)]
-        return walls[1:] if before == SIGN and walls[:1] == [0] else walls  # a run of signs may begin before the chunk
-
-    @staticmethod
-    def _between(text: str, walls: list[int]) -> list[str]:
-        return [text[a:b] for a, b in zip(walls[:-1], walls[1:], strict=True)]
-
-    def transfer(self, text: str, size: int, before: str = "") -> np.ndarray:
+    def transfer(self, text: str, size: int, before: str = "") -> tuple[np.ndarray, str, bytes | None, str]:
         """Best scores from a first piece at each of `longest` places to an end at each of as many beyond the chunk.
 
-        `before` is the character before the chunk, if there is one.
+        Then the text up to the first beginning of a word, over which no piece reaches, the ids from there to the last one,
+        and the text from there. The ids are None where these are too close, and the last text is all. `before` is the
+        character before the chunk, if there is one.
         """
         out = np.full((self.longest, self.longest), -np.inf)
-        walls = self._walls(text, size, before)
+        walls = [m.start() for m in _PART.finditer(text, 0, size)]
+        if before == SIGN and walls[:1] == [0]:  # inside a run of signs, which pieces may reach over
+            walls = walls[1:]
+        head, ids, rest = "", None, text
         if not walls or walls[-1] - walls[0] < self.longest:
             for e in range(min(self.longest, size)):
                 self._leave(text, size, e, out[e])
         else:  # all paths meet at the first wall and at the last one
-            middle = sum(word[0] for word in self.scored.of([self._between(text, walls)])[0])
+            words = self.scored.of([[text[a:b] for a, b in zip(walls[:-1], walls[1:], strict=True)]])[0]
+            middle, ids = sum(word[0] for word in words), b"".join(word[1] for word in words)
             tail = np.full(self.longest, -np.inf)
             self._leave(text, size, walls[-1], tail)
+            head, rest = text[: walls[0]], text[walls[-1] :]
             for e in range(min(self.longest, walls[0] + 1)):
-                head = self.paths(text[: walls[0]], e, walls[0])[0][-1] if e < walls[0] else 0.0
-                out[e] = head + middle + tail
+                first = self.paths(head, e, walls[0])[0][-1] if e < walls[0] else 0.0
+                out[e] = first + middle + tail
         for e in range(size, self.longest):  # the piece before reaches over the whole chunk
             out[e, e - size] = 0.0
-        return out
+        return out, head, ids, rest
 
     def _leave(self, text: str, size: int, start: int, row: np.ndarray) -> None:
         best, _ = self.paths(text, start, size)
         for x in range(min(self.longest, len(text) - size + 1)):
             row[x] = best[size + x]
 
-    def trace(self, text: str, size: int, before: str, entry: np.ndarray) -> tuple[bytes, list[int], list[bytes]]:
+    def trace(self, head: str, middle: bytes | None, rest: str, size: int, entry: np.ndarray) -> tuple[bytes, list[int], list[bytes]]:
         """The chunk's own ids for each state that it may end in: what all begin with, first states, what follows.
 
-        `entry` holds the best score of the text before, by first state. A state that no path ends in has first state -1.
+        `entry` holds the best score of the text before, by first state; `size` is what the chunk has of `rest`. A state
+        that no path ends in has first state -1.
         """
-        walls = self._walls(text, size, before)
-        stem, first, rest = b"", -1, text
-        if walls:  # one path up to the last wall
-            head, rest = text[: walls[0]], text[walls[-1] :]
+        stem, first = b"", -1
+        if middle is not None:  # one path up to the last wall
             _, back = self.paths(head, 0, len(head), entry)
             stem, first = self.ids(head, back, len(head))
-            stem += b"".join(word[1] for word in self.scored.of([self._between(text, walls)])[0])
-            entry, size = np.zeros(1), size - walls[-1]
+            stem, entry = stem + middle, np.zeros(1)
         best, back = self.paths(rest, 0, size, entry)
         firsts, ends = [-1] * self.longest, [b""] * self.longest
         open_ = [x for x in range(min(self.longest, len(rest) - size + 1)) if best[size + x] != -np.inf]
         for x in open_:
             ends[x], at = self.ids(rest, back, size + x)
-            firsts[x] = first if walls else at
+            firsts[x] = at if middle is None else first
         shared = commonprefix([ends[x] for x in open_])
         shared = shared[: len(shared) // 4 * 4]
         return stem + shared, firsts, [e[len(shared) :] for e in ends]
@@ -353,11 +348,17 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            parts, sizes = batch.column("part").to_pylist(), batch.column("size").to_pylist()
-            before = batch.column("before").to_pylist()
-            matrices = [model.transfer(p, n, b).tobytes() for p, n, b in zip(parts, sizes, before, strict=True)]
-            return pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), pa.array(matrices, pa.binary())], ["uid", "k", "matrix"])
+            parts, sizes, before = (batch.column(n).to_pylist() for n in ("part", "size", "before"))
+            got = [model.transfer(p, n, b) for p, n, b in zip(parts, sizes, before, strict=True)]
+            own = [pa.array([g[0].tobytes() for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())]
+            own += [pa.array([None if g[2] is None else thin(g[2]) for g in got], pa.binary()), pa.array([g[3] for g in got], pa.string())]
+            own += [pa.array([n - len(p) + len(g[3]) for p, n, g in zip(parts, sizes, got, strict=True)], pa.int64())]
+            return pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), *own], names)
+
+        def thin(ids: bytes) -> bytes:
+            return np.frombuffer(ids, "<u4").astype(model.narrow).tobytes()
 
+        names = ["uid", "k", "matrix", "head", "middle", "rest", "size"]
         return work
 
     def combine(own: pd.DataFrame) -> pd.DataFrame:
@@ -370,8 +371,11 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
         model = model_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = batch.to_pylist()
-            got = [model.trace(r["part"], r["size"], r["before"], np.frombuffer(r["entry"])) for r in rows]
+            columns = (batch.column(n).to_pylist() for n in ("head", "middle", "rest", "size", "entry"))
+            got = []
+            for head, middle, rest, size, entry in zip(*columns, strict=True):
+                wide = None if middle is None else np.frombuffer(middle, model.narrow).astype("<u4").tobytes()
+                got.append(model.trace(head, wide, rest, size, np.frombuffer(entry)))
             firsts = pa.array([g[1] for g in got], pa.list_(pa.int32()))
             ends = pa.array([[thin(e) for e in g[2]] for g in got], pa.list_(pa.binary()))
             own = pa.array([thin(g[0]) for g in got], pa.binary()), firsts, ends
@@ -398,10 +402,10 @@ def encoded(docs: DataFrame, path: str, ids: bool = False, chunk: int = CHUNK) -
     own = "uid string, doc_id long, text string, sha binary, n_model_pieces long, model_crc32 long"
     rows = stored(arrow_map(texts.select("uid", "doc_id", "text"), own, merge), "pieces-long")
     chunks = arrow_map(rows.select("uid", "text"), "uid string, k long, before string, part string, size long", cut)
-    chunks = stored(chunks.repartition("uid", "k"), "pieces-chunks")
-    matrices = arrow_map(chunks, "uid string, k long, matrix binary", weigh)
-    border = matrices.groupBy("uid").applyInPandas(combine, "uid string, k long, entry binary, total double")
-    traced = arrow_map(chunks.join(border, ["uid", "k"]), f"uid string, k long, total double, {_TRACE}", trace)
+    weighed = "uid string, k long, matrix binary, head string, middle binary, rest string, size long"
+    weighed = stored(arrow_map(chunks.repartition("uid", "k"), weighed, weigh), "pieces-chunks")
+    border = weighed.select("uid", "k", "matrix").groupBy("uid").applyInPandas(combine, "uid string, k long, entry binary, total double")
+    traced = arrow_map(weighed.drop("matrix").join(border, ["uid", "k"]), f"uid string, k long, total double, {_TRACE}", trace)
     parts = traced.groupBy("uid").agg(F.first("total").alias("total"), F.collect_list(F.struct("k", "stem", "firsts", "ends")).alias("parts"))
     long = rows.drop("text").join(parts, "uid").drop("uid")
     return arrow_map(short, schema, whole).union(arrow_map(long, schema, join_up))

@@ -66,8 +66,10 @@ def cut(model, text, chunk):
     text, rows = sp.marked(text), []
     for at in range(0, len(text), chunk):
         rows.append((text[at : at + chunk + model.longest - 1], min(chunk, len(text) - at), text[max(0, at - 1) : at]))
-    total, scores = sp.entries([model.transfer(*row) for row in rows])
-    traces = [model.trace(*row, entry) for row, entry in zip(rows, scores, strict=True)]
+    got = [model.transfer(*row) for row in rows]
+    total, scores = sp.entries([g[0] for g in got])
+    sizes = [size - len(part) + len(g[3]) for (part, size, _), g in zip(rows, got, strict=True)]
+    traces = [model.trace(*g[1:], size, entry) for g, size, entry in zip(got, sizes, scores, strict=True)]
     return total, sp.picked([dict(zip(("stem", "firsts", "ends"), t, strict=True)) for t in traces])
 
 
