@@ -26,6 +26,8 @@ SENSE_STREAM = "sense_sensors_data"
 PILL_STREAM = "batch_pill_data"
 
 BATCHES = 4
+# Fetches of a shard that one batch of a log takes, each a task.
+FETCHES = 64
 NOW = {"availableNow": True}
 NEXT = {"processingTime": "0 seconds"}
 
@@ -109,13 +111,13 @@ Start = Callable[[DataFrame], StreamingQuery]
 
 def _through_logs(spark: SparkSession, logs: list[tuple[list[DataFrame], str, str, Start]]) -> None:
     """Run a query on each shard log (its parts, path, checkpoint), while the logs grow part by part, until all is read."""
-    running = []
+    running, most = [], shards.MAX_RECORDS_PER_FETCH
     try:
         for i in range(max(len(parts) for parts, *_ in logs)):
             for parts, path, offsets, start in logs:
                 shards.append(parts[i], path, i)
                 if not i:
-                    running.append(start(shards.read_stream(spark, path, offsets, records=shards.MAX_RECORDS_PER_FETCH)))
+                    running.append(start(shards.read_stream(spark, path, offsets, records=most, fetches=FETCHES)))
             for query in running:
                 query.processAllAvailable()
     finally:

@@ -1,8 +1,9 @@
-"""Shard logs: a stream source that reads each shard by its offset, at most so many records of a shard at a time.
+"""Shard logs: a stream source that reads each shard by its offset, at most so many records of a shard per fetch.
 
 A log is a folder of segments, ``segment=<n>/shard_id=<shard>/*.parquet``; a shard's records lie in it in the order of
 segment, file and row, and their number in that order is the offset. An offset of the stream is one number per shard.
-Only footers are read to find the end of a shard, and a fetch reads the row groups that it needs.
+Only footers are read to find the end of a shard, and a fetch reads the row groups that it needs. A batch takes one fetch
+of each shard or, where asked, several; each fetch is a task of its own, so a long log takes few batches and many cores.
 
 The files are opened through ``pyarrow.fs``, so a log may lie wherever that reads: a local or mounted folder, HDFS, S3.
 """
@@ -59,8 +60,8 @@ class Fetch(InputPartition):
 
 
 class ShardReader(DataSourceStreamReader):
-    def __init__(self, path: str, newest: bool, most: int, checkpoint: str):
-        self.path, self.newest, self.most, self.checkpoint = path, newest, most, checkpoint
+    def __init__(self, path: str, newest: bool, most: int, checkpoint: str, fetches: int = 1):
+        self.path, self.newest, self.most, self.checkpoint, self.fetches = path, newest, most, checkpoint, fetches
         self.sizes: dict[str, int] = {}  # of files that have been seen: files of a log never change
         self.first: dict[str, int] | None = None
         self.planned: dict[str, int] | None = None
@@ -105,24 +106,27 @@ class ShardReader(DataSourceStreamReader):
         return self.first
 
     def latestOffset(self) -> dict:
-        """At most ``most`` records of a shard beyond what was planned before."""
+        """At most ``fetches`` times ``most`` records of a shard beyond what was planned before."""
         if self.planned is None:
             resumed = self._resumed()
             self.planned = self.initialOffset() if resumed is None else resumed
         before = self.planned
-        self.planned = {shard: min(end, before.get(shard, 0) + self.most) for shard, end in self._ends().items()}
+        reach = self.most * self.fetches
+        self.planned = {shard: min(end, before.get(shard, 0) + reach) for shard, end in self._ends().items()}
         return self.planned
 
     def partitions(self, start: dict, end: dict) -> list[Fetch]:
         fetches = []
         for shard, files in self._files().items():
-            low, high, at, ranges = start.get(shard, 0), end.get(shard, 0), 0, []
-            for name, many in files:
-                if at < high and at + many > low:
-                    ranges.append((name, max(low - at, 0), min(high - at, many)))
-                at += many
-            if ranges:
-                fetches.append(Fetch(shard, ranges))
+            first, last = start.get(shard, 0), end.get(shard, 0)
+            for low in range(first, last, self.most):
+                high, at, ranges = min(low + self.most, last), 0, []
+                for name, many in files:
+                    if at < high and at + many > low:
+                        ranges.append((name, max(low - at, 0), min(high - at, many)))
+                    at += many
+                if ranges:
+                    fetches.append(Fetch(shard, ranges))
         return fetches
 
     def read(self, partition: Fetch) -> Iterator[pa.RecordBatch]:
@@ -148,7 +152,8 @@ class ShardReader(DataSourceStreamReader):
 
 class ShardLog(DataSource):
     """Options: ``path``; ``checkpoint``, the query's checkpoint folder, from which a restart knows where it is; ``start``,
-    "earliest" or "newest" (nothing that is in the log already is read); ``records`` of a shard per fetch.
+    "earliest" or "newest" (nothing that is in the log already is read); ``records`` of a shard per fetch; ``fetches`` of a
+    shard per batch.
     """
 
     @classmethod
@@ -164,15 +169,19 @@ class ShardLog(DataSource):
             raise ValueError(f"start must be earliest or newest, not {start}")
         if not 1 <= most <= MAX_RECORDS_PER_FETCH:
             raise ValueError(f"records per fetch must be 1 to {MAX_RECORDS_PER_FETCH}")
-        return ShardReader(self.options["path"], start == "newest", most, self.options["checkpoint"])
+        fetches = int(self.options.get("fetches", 1))
+        if fetches < 1:
+            raise ValueError("a batch takes at least one fetch of a shard")
+        return ShardReader(self.options["path"], start == "newest", most, self.options["checkpoint"], fetches)
 
 
 def read_stream(
-    spark: SparkSession, path: str, checkpoint: str, start: str = "earliest", records: int = RECORDS_PER_FETCH
+    spark: SparkSession, path: str, checkpoint: str, start: str = "earliest", records: int = RECORDS_PER_FETCH, fetches: int = 1
 ) -> DataFrame:
-    """The log as the one stream of a query with that checkpoint folder. A fetch holds at most ``records`` of each shard."""
+    """The log as the one stream of a query with that checkpoint folder. A fetch holds at most ``records`` of a shard, a batch at
+    most ``fetches`` of each shard."""
     utc_session(spark).dataSource.register(ShardLog)
-    options = {"start": start, "records": records, "checkpoint": checkpoint}
+    options = {"start": start, "records": records, "checkpoint": checkpoint, "fetches": fetches}
     return spark.readStream.format(FORMAT).options(**options).load(path)
 
 

@@ -70,3 +70,21 @@ def test_options_are_checked(spark, tmp_path):
     for option in ({"records": 5001}, {"records": 0}, {"start": "middle"}):
         with pytest.raises(ValueError):
             shards.ShardLog({"path": str(tmp_path), "checkpoint": str(tmp_path), **{k: str(v) for k, v in option.items()}}).streamReader(None)
+
+
+def test_a_batch_of_several_fetches_is_as_many_tasks(spark, tmp_path):
+    log = str(tmp_path / "log")
+    shards.append(records(spark, *range(1, 8)), log, 0)
+    shards.append(records(spark, *range(8, 12)).unionByName(records(spark, 1, shard="s1")), log, 1)
+    reader = shards.ShardReader(log, False, 2, str(tmp_path / "none"), 4)
+    first, second = reader.latestOffset(), reader.latestOffset()
+    assert (first, second) == ({"s0": 8, "s1": 1}, {"s0": 11, "s1": 1})
+    fetches = reader.partitions({}, first) + reader.partitions(first, second)
+    assert [(f.shard, sum(high - low for _, low, high in f.ranges)) for f in fetches] == [*[("s0", 2)] * 4, ("s1", 1), ("s0", 2), ("s0", 1)]
+    found = [v for f in fetches if f.shard == "s0" for b in reader.read(f) for v in b.column(1).to_pylist()]
+    assert found == [str(n) for n in range(1, 12)]
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    assert len(run(spark, log, out, checkpoint, records=2, fetches=4)) == 2
+    assert spark.read.parquet(out).count() == 12
+    with pytest.raises(ValueError):
+        shards.ShardLog({"path": log, "checkpoint": checkpoint, "fetches": "0"}).streamReader(None)
