@@ -1,18 +1,16 @@
 """Partial updates as native state: one value per field of a device, and only fields that change are written.
 
-A message may set any of a device's fields and leave the others alone. A processor for each device keeps, in RocksDB, of every
-field the value that arrived last; a record that arrives late or again changes nothing that is newer. There is no watermark, so
-nothing is dropped, and the output of a batch grows with what it changes.
+A message may set any of a device's fields and leave the others alone. A streaming aggregation keeps, in RocksDB, of every
+field of a device the value that arrived last and the batch that brought it; a record that arrives late or again changes
+nothing that is newer. Each task reduces its records to one update a field first, so a busy device is thinned where it is read.
+There is no watermark, so nothing is dropped, and the output of a batch is what it changes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from fleetmeter.functions.arrival import arrival
 from fleetmeter.operators.firmware import UNKNOWN
@@ -22,9 +20,6 @@ from fleetmeter.streaming.state import with_rocksdb
 
 FIRMWARE_FIELDS = ("middle_version", "top_version", "timestamp")
 
-_ARRIVAL = "digits int, number string, shard string"
-_UPDATES = f"device_id string, field string, {_ARRIVAL}, value string"
-
 
 def firmware_updates(firmware: DataFrame) -> DataFrame:
     """The fields that each message sets, as text: known versions, and the time at which either was set."""
@@ -38,50 +33,20 @@ def firmware_updates(firmware: DataFrame) -> DataFrame:
     return rows.select("device_id", "field", "arrival.*", "value")
 
 
-def _last_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each batch of rows, a device's last update of each field: a busy device is thinned where it is read."""
-    for batch in batches:
-        last: dict[tuple, tuple[tuple, int]] = {}
-        columns = [batch.column(c).to_pylist() for c in ("device_id", "field", "digits", "number", "shard")]
-        for i, (device, field, *at) in enumerate(zip(*columns, strict=True)):
-            if (device, field) not in last or last[device, field][0] < tuple(at):
-                last[device, field] = tuple(at), i
-        yield batch.take(pa.array([i for _, i in last.values()], pa.int64()))
-
-
-class FieldProcessor(StatefulProcessor):
-    def __init__(self, names: tuple[str, ...]):
-        self.names = names
-
-    def init(self, handle) -> None:
-        self.held = {n: handle.getValueState(n, f"{_ARRIVAL}, value string") for n in self.names}
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last: dict[str, tuple] = {}
-        for r in rows:
-            new = r.digits, r.number, r.shard, r.value
-            if r.field not in last or last[r.field][:3] < new[:3]:
-                last[r.field] = new
-        for name, new in last.items():
-            held = self.held[name].get()
-            if held is None or tuple(held)[:3] < new[:3]:
-                self.held[name].update(new)
-                yield Row(device_id=key[0], field=name, digits=new[0], number=new[1], shard=new[2], value=new[3])
-
-    def close(self) -> None:
-        pass
-
-
-def changed(updates: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """The updates of a stream that change a field."""
-    thinned = with_rocksdb(updates).mapInArrow(_last_of_each, _UPDATES)
-    return thinned.groupBy("device_id").transformWithState(FieldProcessor(names), _UPDATES, "Update", "None")
+def changed(updates: DataFrame) -> DataFrame:
+    """The updates of a stream that change a field. Of equal arrivals the earliest batch's stays, so a repeat changes nothing."""
+    # The time of the batch: the same in all of its rows, and when it is run again.
+    age = -F.unix_millis(F.current_timestamp())
+    update = F.struct("digits", "number", "shard", "age", "value")
+    last = with_rocksdb(updates).withColumn("age", age).groupBy("device_id", "field").agg(F.max(update).alias("last"))
+    fresh = last.where(F.col("last.age") == age)
+    return fresh.select("device_id", "field", "last.digits", "last.number", "last.shard", "last.value")
 
 
 def start_firmware(firmware: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write the changed firmware fields of a stream below ``path``."""
     return (
-        changed(firmware_updates(firmware), FIRMWARE_FIELDS)
+        changed(firmware_updates(firmware))
         .writeStream.outputMode("update")
         .foreachBatch(lambda batch, batch_id: changes.write(batch, path, batch_id))
         .option("checkpointLocation", checkpoint)

@@ -101,3 +101,30 @@ def test_partial_updates_equal_batch_and_write_only_changes(spark, tmp_path):
     written = spark.read.parquet(out)
     assert written.where("folder = 'b000000000003'").count() == 0
     assert written.groupBy("device_id", "field", "folder").count().where("count > 1").count() == 0
+
+
+def test_fields_keep_what_arrived_last_in_plain_aggregated_state(spark, tmp_path):
+    """A late record changes nothing, an equal arrival neither; no Python runs for each device of a batch."""
+    schema = "device_id string, field string, digits int, number string, shard string, value string"
+    batches = [
+        [("a", "top", 2, "20", "s0", "x"), ("a", "top", 1, "3", "s0", "older"), ("b", "top", 1, "5", "s0", "y")],
+        [("a", "top", 2, "11", "s0", "late"), ("a", "middle", 1, "1", "s0", "m"), ("b", "top", 1, "5", "s0", "z")],
+        [("a", "top", 2, "20", "s1", "next"), ("b", "top", 1, "4", "s9", "late")],
+    ]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = fields.changed(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source))
+    query = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, batch_id: changes.write(batch, out, batch_id))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(**NOW)
+        .start()
+    )
+    query.awaitTermination()
+    operators = [o.operatorName for p in query.recentProgress for o in p.stateOperators]
+    assert operators and set(operators) == {"stateStoreSave"}
+    written = spark.read.parquet(out).selectExpr("right(folder, 1) AS batch", "device_id", "field", "value")
+    want = [("0", "a", "top", "x"), ("0", "b", "top", "y"), ("1", "a", "middle", "m"), ("2", "a", "top", "next")]
+    assert rows(written) == want
