@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,12 @@ WORDS = 1000
 SYMBOLS = 257
 FOLLOW = SYMBOLS + WORDS
 STRIP = 256
-#: Words, or half the grams, that a task holds before it hands them on.
+#: Words that a task holds before it hands them on.
 HELD = 200_000
+#: Grams that a task counts at a time.
+COUNTED = 2_000_000
+#: Context symbol of a byte.
+_SYMBOL = np.where(np.arange(256) == 10, 0, np.arange(1, 257)).astype(np.int16)
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
@@ -55,12 +60,18 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.sort(words_of(np.frombuffer(b" ".join(words), np.uint8))[2])
 
 
-def _stream(texts: list[bytes], depth: int, keys: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Context symbols of the texts, `depth` ends before each and one after; what is predicted at each place (-1 for
-    nothing, inside a frequent word); where texts begin, and their sizes; begin, end and key of each word."""
-    plain = [b"".join(w + b" " for w in t.lower().split()) for t in texts]
-    raw = np.frombuffer(b"".join(b"\n" * depth + p + b"\n" for p in plain), np.uint8)
-    symbols = np.where(raw == 10, 0, raw.astype(np.int64) + 1)
+def split(texts: list[bytes]) -> list[list[bytes]]:
+    """The words of each text, A-Z lower-cased."""
+    return [t.lower().split() for t in texts]
+
+
+def _stream(texts: list[list[bytes]], depth: int, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Context symbols of the texts (their words), `depth` ends before each and one after; what is predicted at each place
+    (-1 for nothing, inside a frequent word); where texts begin, and their sizes; begin and end of each word."""
+    plain = [b" ".join([*words, b""]) for words in texts]
+    between = b"\n" * (depth + 1)
+    raw = np.frombuffer(b"\n" * depth + between.join(plain) + b"\n", np.uint8) if plain else np.empty(0, np.uint8)
+    symbols = _SYMBOL[raw]
     sizes = np.array([len(p) + 1 for p in plain], np.int64)
     starts = np.cumsum(sizes + depth) - sizes
     follow = symbols.copy()
@@ -68,49 +79,48 @@ def _stream(texts: list[bytes], depth: int, keys: np.ndarray) -> tuple[np.ndarra
     if len(keys) and len(hashes):
         place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
         known = keys[place] == hashes
-        inside = np.zeros(len(raw) + 2, np.int32)
-        np.add.at(inside, first[known] + 1, 1)
-        np.add.at(inside, last[known] + 1, -1)
-        follow[np.cumsum(inside)[: len(raw)] > 0] = -1
+        inside = np.zeros(len(raw) + 2, np.int8)
+        inside[first[known] + 1] = 1  # words lie apart: no place is set twice
+        inside[last[known] + 1] = -1
+        follow[np.cumsum(inside, dtype=np.int8)[: len(raw)] > 0] = -1
         follow[first[known]] = SYMBOLS + place[known]
     for k in range(1, depth + 1):
         follow[starts - k] = -1
-    return symbols, follow, starts, sizes, first, last, hashes
+    return symbols, follow, starts, sizes, first, last
 
 
-def _grams(texts: list[bytes], depth: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every predicted symbol with the `depth` before it as one number, and how often it occurs."""
-    symbols, follow, *_ = _stream(texts, depth, keys)
-    context = np.zeros(len(symbols), np.int64)
-    for k in range(1, depth + 1):
-        context[k:] += symbols[:-k] * SYMBOLS ** (k - 1)
-    pick = follow >= 0
-    return np.unique(context[pick] * FOLLOW + follow[pick], return_counts=True)
+def _grams(texts: list[bytes], depth: int, keys: np.ndarray) -> np.ndarray:
+    """Every predicted symbol with the `depth` before it as one number."""
+    symbols, follow, *_ = _stream(split(texts), depth, keys)
+    place = np.flatnonzero(follow >= 0)
+    gram = np.zeros(len(place), np.int64)
+    for k in range(depth, 0, -1):
+        gram *= SYMBOLS
+        gram += symbols[place - k]
+    gram *= FOLLOW
+    gram += follow[place]
+    return gram
 
 
 def count_grams(texts: DataFrame, keys: np.ndarray, depth: int = DEPTH) -> DataFrame:
     """gram and n over all texts (the only column); each task adds up its own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+        held: list[np.ndarray] = []
 
-        def send(pair: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["gram", "n"])
+        def send() -> pa.RecordBatch:
+            grams, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n.astype(np.int64))], ["gram", "n"])
 
         for batch in batches:
             texts = text_bytes(batch.column(0))
             for a, b in slices(np.array([len(t) for t in texts])):
                 held.append(_grams(texts[a:b], depth, keys))
-                if sum(len(k) for k, _ in held) > 3 * HELD:
-                    held = [merged()]
-                    if len(held[0][0]) > 2 * HELD:
-                        yield send(held.pop())
+                if sum(len(grams) for grams in held) > COUNTED:
+                    yield send()
         if held:
-            yield send(merged())
+            yield send()
 
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -183,7 +193,7 @@ class Automaton:
                     hit = (target == 0) & (levels[m][place] == value)
                     target[hit] = first[m] + place[hit]
             step[first[j] : first[j + 1], :-1] = target
-        self.step = step.ravel()
+        self.step = (step * self.signs).ravel()  # a state stands there as its first place in this table
         spells = np.isin(np.arange(self.width), self.column[1:SYMBOLS][np.isin(np.arange(1, SYMBOLS), seen)])
         # the shared column stands for each symbol never seen; the bytes among them may begin a word too
         unseen = SYMBOLS - 1 - np.isin(np.arange(1, SYMBOLS), seen).sum()
@@ -193,25 +203,35 @@ class Automaton:
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text, the log10 probability of its frequent words, its choices to spell and its end; for each word
         (all texts in order), whether it is spelled and the log10 probability of its spelling."""
-        symbols, follow, starts, sizes, first, last, hashes = _stream(texts, self.depth, self.keys)
-        columns, signs = self.column[follow], self.sign[symbols]
+        return self.score_words(split(texts))
+
+    def score_words(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for the words of each text."""
+        symbols, follow, starts, sizes, first, last = _stream(texts, self.depth, self.keys)
         many = -(-sizes // STRIP)
         owner = np.repeat(np.arange(len(texts)), many)
         offset = (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * STRIP
         begin, length = starts[owner] + offset, np.minimum(STRIP, sizes[owner] - offset)
         order = np.argsort(-length, kind="stable")
         begin, length = begin[order], length[order]
-        state, gains, states = np.zeros(len(begin), np.int32), np.zeros(len(symbols)), np.zeros(len(symbols), np.int32)
-        for j in range(-self.depth, int(length[0])):
-            live = len(begin) if j < 0 else int(np.searchsorted(-length, -j, "left"))
-            place = begin[:live] + j
+        rows = int(length[0])
+        live = np.searchsorted(-length, -np.arange(rows), "left")  # strips that reach a row
+        live[0] = len(begin)
+        states, state = np.zeros(len(symbols), np.int32), np.zeros(len(begin), np.int32)
+        signs = self.sign[symbols]
+        for j in range(-self.depth, rows):
+            if j > 0:
+                state, begin = state[: live[j]], begin[: live[j]]
+            place = begin + j
             if j >= 0:
-                gains[place] = self.gain[state[:live] * self.width + columns[place]]
-                states[place] = state[:live]
-            state[:live] = self.step[state[:live] * self.signs + signs[place]]
+                states[place] = state
+            state = self.step[state + signs[place]]
+        pick = np.flatnonzero(follow >= 0)
+        gains = np.zeros(len(symbols))
+        gains[pick] = self.gain[states[pick] // self.signs * self.width + self.column[follow[pick]]]
         spelled = follow[first] < SYMBOLS
         sums = np.concatenate([[0.0], np.cumsum(gains)])
-        escape = self.escape[states[first]]
+        escape = self.escape[states[first] // self.signs]
         spelling = np.where(spelled, sums[last + 1] - sums[first] - escape, 0.0)
         text = np.searchsorted(starts, first, "right") - 1
         total = sums[starts + sizes] - sums[starts] - np.bincount(text, spelling, len(texts))
@@ -277,12 +297,12 @@ def scored(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
             nonlocal row
             texts = text_bytes(batch.column(1))
             for a, b in slices(np.array([len(t) for t in texts]), PASS_BYTES):
-                own = [t.lower().split() for t in texts[a:b]]
+                own = split(texts[a:b])
                 sizes = np.array([len(w) for w in own])
                 owner = np.repeat(np.arange(b - a), sizes)
-                words = [w for ws in own for w in ws]
-                many = np.array([counts.get(w, -1) for w in words], np.float64)
-                score, spelled, spelling = model.score(texts[a:b])
+                words = list(chain.from_iterable(own))
+                many = np.fromiter(map(counts.get, words, repeat(-1)), np.float64, len(words))
+                score, spelled, spelling = model.score_words(own)
                 sure = many >= 0
                 gain = np.where(spelled & sure, np.log10(many.clip(0) + new_words * 10**spelling) - spell_base, 0.0)
                 score = score + np.bincount(owner, gain, b - a)

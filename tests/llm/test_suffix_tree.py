@@ -106,3 +106,27 @@ def test_odd_rows(spark):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
     alone = st.scored(docs.sparkSession.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
     assert [(r.train_tokens, r.n_known) for r in alone] == [(0, 0)] * 2
+
+
+def test_grams_are_counted_in_parts_and_scores_take_split_words(spark, monkeypatch):
+    monkeypatch.setattr(st, "COUNTED", 50)  # the tasks of a local session get it with the function
+    texts = ["the cat and the hat", "a Cat sat on the mat " * 5, "", "öde\n zzz"]
+    keys = st.word_keys([b"the", b"cat"])
+    depth, want = 2, Counter()
+    for text in texts:
+        past = [0] * depth
+        for word in text.lower().encode().split():
+            known = np.flatnonzero(keys == st.word_keys([word])[0])
+            follows = [st.SYMBOLS + int(known[0])] + [None] * len(word) if len(known) else [b + 1 for b in word + b" "]
+            for b, follow in zip(word + b" ", follows, strict=True):
+                if follow is not None:
+                    want[(past[-2] * st.SYMBOLS + past[-1]) * st.FOLLOW + follow] += 1
+                past.append(b + 1)
+        want[(past[-2] * st.SYMBOLS + past[-1]) * st.FOLLOW] += 1
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.gram: r.n for r in st.count_grams(rows, keys, depth).collect()} == want
+    arrays = {"k": np.zeros(3, np.int64), "context": np.zeros(3, np.int64), "symbol": np.array([0, 33, st.SYMBOLS]), "n": np.array([1, 5, 9])}
+    model = st.Automaton({**arrays, "words": np.array([b"the"], object)}, keys, depth)
+    asked = [t.encode() for t in [*texts, "x" * 700]]
+    for one, other in zip(model.score(asked), model.score_words(st.split(asked)), strict=True):
+        assert one.tolist() == other.tolist()
