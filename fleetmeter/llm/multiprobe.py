@@ -42,6 +42,8 @@ SAMPLE = 2048
 SHARE, ASKED = 4096, 16384
 #: Queries whose probes one task works out; groups in which a query's results first merge.
 PROBED, MERGES = 512, 32
+#: Queries that a cell answers at a time; places a query that are held, as a multiple of k, before its k-th best is looked up.
+TOGETHER, HELD = 512, 8
 #: Bits that one slot adds to a bucket's name, at WIDTH.
 _BITS = 1.2
 
@@ -142,6 +144,51 @@ def _best(query: np.ndarray, score: np.ndarray, tie: np.ndarray, k: int) -> np.n
     return order[rank < k]
 
 
+class _Held:
+    """Places that may be among a query's k best: those within `near` of the k-th best product that it has met so far."""
+
+    def __init__(self, near: np.ndarray, k: int):
+        self.near, self.k = near, k
+        self.least, self.many = np.full(len(near), -np.inf), 0  # many: places since the last look
+        self.rows: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
+        self.values: list[np.ndarray] = []
+
+    def add(self, who: np.ndarray, first: int, value: np.ndarray) -> None:
+        """Products of the queries `who` with the vectors from place `first` on; -inf for the query's own."""
+        least, k, size = self.least[who], self.k, value.shape[1]
+        keep = (value >= least[:, None]) & (value > -np.inf)
+        many = np.flatnonzero(keep.sum(1) > k)
+        if len(many):
+            edge = np.partition(value[many], size - k, axis=1)[:, size - k]
+            keep[many] &= value[many] >= (edge - self.near[who[many]])[:, None]
+        r, c = np.nonzero(keep)
+        self.rows.append(who[r])
+        self.places.append(first + c)
+        self.values.append(value[r, c])
+        self.many += len(r)
+        if self.many > HELD * k * len(self.near):
+            self._thin()
+
+    def _thin(self) -> None:
+        r, c, v = (np.concatenate(x) for x in (self.rows, self.places, self.values))
+        top = _best(r, v, c, self.k)
+        last = np.flatnonzero(np.diff(r[top], append=-1))
+        full = np.bincount(r[top], minlength=len(self.near))[r[top][last]] == self.k
+        row = r[top][last][full]
+        self.least[row] = v[top][last][full] - self.near[row]
+        stay = v >= self.least[r]
+        self.rows, self.places, self.values = [r[stay]], [c[stay]], [v[stay]]
+        self.many = 0
+
+    def best(self) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and places that are left."""
+        if not self.rows:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        self._thin()
+        return self.rows[0], self.places[0]
+
+
 def _solver(k: int):
     """Of the vectors and queries of a cell, each query's k best in the buckets that it visits (null: all of them)."""
 
@@ -158,10 +205,11 @@ def _solver(k: int):
         name, end = bucket[start], np.append(start[1:], len(bucket))
         slack = 1e-9 * float(np.sqrt((x**2).sum(1).max()))
         out = []
-        for a in range(0, len(asked), 256):
-            some = asked.iloc[a : a + 256]
+        for a in range(0, len(asked), TOGETHER):
+            some = asked.iloc[a : a + TOGETHER]
             q = np.frombuffer(b"".join(some["q"]), "<f8").reshape(len(some), -1)
             query_id, near = some["query_id"].to_numpy(), slack * np.sqrt((q**2).sum(1))
+            asks = np.isin(ids, query_id)
             visits = [name if v is None else np.frombuffer(v, "<u8") for v in some["buckets"]]
             flat, by = np.concatenate(visits), np.repeat(np.arange(len(visits)), [len(v) for v in visits])
             at = np.minimum(np.searchsorted(name, flat), len(name) - 1)
@@ -170,29 +218,16 @@ def _solver(k: int):
             order = np.lexsort((by, at))
             at, by = at[order], by[order]
             cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]])) if len(at) else []
-            rows, places, values = [], [], []
+            held = _Held(near, k)
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
                 s, e, who = start[at[lo]], end[at[lo]], by[lo:hi]
                 value = q[who] @ x[s:e].T
-                value[query_id[who][:, None] == ids[None, s:e]] = -np.inf
-                keep = value > -np.inf
-                if e - s > k:
-                    edge = np.partition(value, e - s - k, axis=1)[:, e - s - k]
-                    keep &= value >= (edge - near[who])[:, None]
-                r, c = np.nonzero(keep)
-                rows.append(who[r])
-                places.append(s + c)
-                values.append(value[r, c])
-            if not rows:
+                if asks[s:e].any():
+                    value[query_id[who][:, None] == ids[None, s:e]] = -np.inf
+                held.add(who, s, value)
+            r, c = held.best()
+            if not len(r):
                 continue
-            r, c, v = np.concatenate(rows), np.concatenate(places), np.concatenate(values)
-            edge = np.full(len(q), -np.inf)
-            top = _best(r, v, c, k)
-            last = np.flatnonzero(np.diff(r[top], append=-1))
-            full = np.bincount(r[top], minlength=len(q))[r[top][last]] == k
-            edge[r[top][last][full]] = v[top][last][full]
-            stay = v >= (edge - near)[r]
-            r, c = r[stay], c[stay]
             exact = scores(q[r], x[c])
             best = _best(r, exact, ids[c], k)
             if not len(best):
@@ -280,8 +315,10 @@ def _merged(met: DataFrame, k: int) -> DataFrame:
     group = F.pmod(F.xxhash64("ids"), F.lit(MERGES))
     rows = met.select("query_id", "row", group.alias("group"), best.alias("best"))
     for by in (["query_id", "row", "group"], ["query_id", "row"]):
-        whole = F.sort_array(F.array_distinct(F.flatten(F.collect_list("best"))))
-        rows = rows.groupBy(*by).agg(F.slice(whole, 1, k).alias("best"))
+        rows = rows.groupBy(*by).agg(F.sort_array(F.flatten(F.collect_list("best"))).alias("whole"))
+        # equal ones lie side by side: array_distinct would compare each with each
+        once = F.filter("whole", lambda x, i: (i == 0) | (x != F.get("whole", i - 1)))
+        rows = rows.select(*by, F.slice(once, 1, k).alias("best"))
     return rows
 
 

@@ -98,3 +98,33 @@ def test_combinations_come_by_falling_chance():
         p, k = multiprobe.likeliest(chances, keys, owed)
         assert k.tolist() == [w for _, w in whole[: len(k)]]
         assert p.sum() >= owed - 1e-12 and p[:-1].sum() < owed
+
+
+def test_a_cell_holds_few_places_and_loses_none(monkeypatch):
+    rng = np.random.default_rng(5)
+    value, k = np.round(rng.normal(0, 1, (6, 4000)), 2), 7  # with ties
+    value[0, ::2] = -np.inf
+    held, most = multiprobe._Held(np.full(6, 1e-9), k), 0
+    for s in range(0, 4000, 20):
+        held.add(np.arange(6), s, value[:, s : s + 20].copy())
+        most = max(most, sum(len(r) for r in held.rows))
+    r, c = held.best()
+    for q in range(6):
+        edge = np.sort(value[q])[-k]
+        assert set(np.flatnonzero(value[q] >= edge)) <= set(c[r == q])
+    assert most < 6 * 4000 / 10 and np.isfinite(value[r, c]).all()
+
+
+def test_results_merge_without_comparing_each_with_each(spark):
+    rng = np.random.default_rng(6)
+    cells = []
+    for _ in range(40):
+        ids = rng.choice(60, 9, replace=False)
+        order = np.lexsort((ids, -(ids % 7)))
+        cells.append((1, 1, ids[order].tolist(), (ids[order] % 7).astype(float).tolist()))
+    met = spark.createDataFrame(cells, "query_id long, row long, ids array<long>, scores array<double>")
+    merged = multiprobe._merged(met, 9)
+    every = sorted({(-s, i) for _, _, ids, scores in cells for i, s in zip(ids, scores, strict=True)})
+    assert [tuple(x) for x in merged.first().best] == every[:9]
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in plan and plan.count("sort_array") == 2
